@@ -23,7 +23,7 @@ def elapsed_seconds(spec: TripSpec = DEFAULT_SPEC) -> Column:
     Differs from :func:`duration_seconds` only for sub-second timestamps; the
     profiling queries use this one, the silver layer the other.
     """
-    return F.timestampdiff("SECOND", F.col(spec.pickup), F.col(spec.dropoff))
+    return F.timestamp_diff("SECOND", F.col(spec.pickup), F.col(spec.dropoff))
 
 
 def year_month(col: str | Column) -> Column:

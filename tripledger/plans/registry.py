@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from tripledger.operators import checks as C
 from tripledger.operators import metrics as M
+from tripledger.operators import profile as P
 from tripledger.operators import quality as Q
 from tripledger.sources import testdata as TD
 from tripledger.sources.testdata import TEST_FOCUS_PERIOD as FOCUS
@@ -140,3 +142,199 @@ def hourly_chart(spark, sf_dir):
 def weekday_ticket(spark, sf_dir):
     """A9."""
     return M.weekday_ticket(silver(spark, sf_dir))
+
+
+# --- bronze profiling (EDA) ----------------------------------------------------
+
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TD.bronze(spark, sf_dir)
+
+
+@register("period_volume")
+def period_volume(spark, sf_dir):
+    """A10 (the ingestion time is one value per run and is left out)."""
+    return P.period_volume(bronze(spark, sf_dir)).drop("ingerido_em")
+
+
+@register("out_of_month")
+def out_of_month(spark, sf_dir):
+    """A11."""
+    return P.out_of_month(bronze(spark, sf_dir))
+
+
+@register("reload_detector")
+def reload_detector(spark, sf_dir):
+    """Zero rows when every period was loaded once."""
+    return P.reload_detector(bronze(spark, sf_dir))
+
+
+@register("panorama")
+def panorama(spark, sf_dir):
+    """A13."""
+    return P.panorama(bronze(spark, sf_dir))
+
+
+@register("month_sources")
+def month_sources(spark, sf_dir):
+    """A14 (the sorted set of periods joined with commas)."""
+    df = P.month_sources(bronze(spark, sf_dir))
+    return df.withColumn("arquivos_de_origem", F.array_join("arquivos_de_origem", ","))
+
+
+@register("duration_profile")
+def duration_profile(spark, sf_dir):
+    """A15."""
+    return P.duration_profile(bronze(spark, sf_dir))
+
+
+@register("amount_nonpositive")
+def amount_nonpositive(spark, sf_dir):
+    """A16."""
+    return P.amount_nonpositive(bronze(spark, sf_dir))
+
+
+@register("amount_distribution")
+def amount_distribution(spark, sf_dir):
+    """A17."""
+    return P.amount_distribution(bronze(spark, sf_dir))
+
+
+@register("outlier_weight")
+def outlier_weight(spark, sf_dir):
+    """A18."""
+    return P.outlier_weight(bronze(spark, sf_dir))
+
+
+@register("passenger_histogram")
+def passenger_histogram(spark, sf_dir):
+    """A19 + N1."""
+    return P.passenger_histogram(bronze(spark, sf_dir))
+
+
+@register("null_treatment")
+def null_treatment(spark, sf_dir):
+    """A20 over the focus month."""
+    return P.null_treatment(bronze(spark, sf_dir), FOCUS)
+
+
+@register("duplicate_summary")
+def duplicate_summary(spark, sf_dir):
+    """A21 over ``lineitem(l_orderkey, l_linenumber)``, whose pairs repeat."""
+    return P.duplicate_summary(TD.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("trip_duplicates")
+def trip_duplicates(spark, sf_dir):
+    """A21 over the six trip key columns of bronze."""
+    return P.duplicate_summary(bronze(spark, sf_dir))
+
+
+@register("completeness")
+def completeness(spark, sf_dir):
+    """A22."""
+    return P.completeness(bronze(spark, sf_dir))
+
+
+@register("vendor_domain")
+def vendor_domain(spark, sf_dir):
+    """A23."""
+    return P.vendor_domain(bronze(spark, sf_dir))
+
+
+@register("month_with_footer")
+def month_with_footer(spark, sf_dir):
+    """A24 + U1."""
+    return P.month_with_footer(bronze(spark, sf_dir), SCOPE)
+
+
+# --- silver / quarantine validation -------------------------------------------
+
+@register("quarantine_summary")
+def quarantine_summary(spark, sf_dir):
+    """A25."""
+    return P.quarantine_summary(quarantine(spark, sf_dir))
+
+
+@register("scope_check")
+def scope_check(spark, sf_dir):
+    """A26."""
+    return P.scope_check(silver(spark, sf_dir))
+
+
+@register("flag_totals")
+def flag_totals(spark, sf_dir):
+    """A27."""
+    return P.flag_totals(silver(spark, sf_dir))
+
+
+@register("conservation")
+def conservation(spark, sf_dir):
+    """bronze = silver + quarantine."""
+    return C.conservation(bronze(spark, sf_dir), silver(spark, sf_dir), quarantine(spark, sf_dir))
+
+
+@register("discard_rate")
+def discard_rate(spark, sf_dir):
+    """A28."""
+    return P.discard_rate(classified(spark, sf_dir))
+
+
+@register("implementations_agree")
+def implementations_agree(spark, sf_dir):
+    """The gold-based and silver-based reports differ in no row."""
+    s = silver(spark, sf_dir)
+    mon = C.symmetric_difference(
+        M.monthly_report(M.monthly_revenue(s)), M.monthly_report_from_silver(s)
+    ).withColumnRenamed("divergencias", "divergencias_mensal")
+    hr = C.symmetric_difference(
+        M.hourly_report(M.hourly_passengers(s, FOCUS), label_hours=False),
+        M.hourly_report_from_silver(s, FOCUS),
+    ).withColumnRenamed("divergencias", "divergencias_horaria")
+    return mon.unionByName(hr, allowMissingColumns=True).agg(
+        F.max("divergencias_mensal").alias("divergencias_mensal"),
+        F.max("divergencias_horaria").alias("divergencias_horaria"),
+    )
+
+
+@register("trip_sample")
+def trip_sample(spark, sf_dir):
+    """20 trips of the focus month in a total order."""
+    return P.trip_sample(silver(spark, sf_dir), FOCUS)
+
+
+# --- metrics stated in the analysis prose (D-series) -------------------------
+
+@register("vendor_discards")
+def vendor_discards(spark, sf_dir):
+    """D1."""
+    return M.vendor_discards(classified(spark, sf_dir))
+
+
+@register("month_growth")
+def month_growth(spark, sf_dir):
+    """Second to last month of the scope."""
+    return M.month_growth(monthly(spark, sf_dir), SCOPE.periods()[1], SCOPE.last)
+
+
+@register("peak_hours")
+def peak_hours(spark, sf_dir):
+    """D3."""
+    return M.peak_hours(hourly(spark, sf_dir))
+
+
+@register("hourly_spread")
+def hourly_spread(spark, sf_dir):
+    """D4."""
+    return M.hourly_spread(hourly(spark, sf_dir))
+
+
+@register("missing_by_hour")
+def missing_by_hour(spark, sf_dir):
+    """D5."""
+    return M.missing_by_hour(hourly(spark, sf_dir))
+
+
+@register("double_violations")
+def double_violations(spark, sf_dir):
+    """D6."""
+    return M.double_violations(classified(spark, sf_dir), SCOPE)
