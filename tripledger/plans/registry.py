@@ -20,6 +20,7 @@ from tripledger.operators import checks as C
 from tripledger.operators import metrics as M
 from tripledger.operators import profile as P
 from tripledger.operators import quality as Q
+from tripledger.plans import medallion as MD
 from tripledger.sources import testdata as TD
 from tripledger.sources.testdata import TEST_FOCUS_PERIOD as FOCUS
 from tripledger.sources.testdata import TEST_SCOPE as SCOPE
@@ -338,3 +339,142 @@ def missing_by_hour(spark, sf_dir):
 def double_violations(spark, sf_dir):
     """D6."""
     return M.double_violations(classified(spark, sf_dir), SCOPE)
+
+
+# --- sources, sinks and the table builds ---------------------------------------
+# These write under the shared work folder (``spark.checkpoint.dir``), each
+# run into fresh, uniquely named folders and databases.
+
+def _landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    from tripledger.session import scratch_path
+
+    return TD.write_trip_landing(spark, sf_dir, scratch_path(spark, "landing"))
+
+
+def _tables() -> "MD.Tables":
+    from tripledger.session import unique_name
+
+    return MD.Tables.prefixed(unique_name("t"))
+
+
+# Canonical spec applied to ``events``: one name differing only in case, one
+# optional column the source lacks (NULL), and ``props`` left out (ignored).
+EVENT_TYPES = {
+    "Event_Id": "bigint",
+    "ts": "timestamp_ntz",
+    "user_id": "bigint",
+    "EVENT_TYPE": "string",
+    "value": "double",
+    "session_id": "string",
+}
+EVENT_REQUIRED = ("event_id", "ts")
+
+
+@register("canonical_scan")
+def canonical_scan(spark, sf_dir):
+    """``events`` cast to a canonical spec."""
+    from tripledger.sources.landing import read_landing
+
+    read = read_landing(spark, f"{sf_dir.rstrip('/')}/events.parquet", "0000-00",
+                        EVENT_TYPES, EVENT_REQUIRED)
+    return read.df.select(*EVENT_TYPES)
+
+
+@register("unified_months")
+def unified_months(spark, sf_dir):
+    """S1 + U3: trips written as drifting monthly files (int32 / int64 ids,
+    renamed and extra columns), read back per schema group and unioned."""
+    from tripledger.sources.landing import read_landing_grouped
+
+    df = read_landing_grouped(spark, _landing(spark, sf_dir))
+    return df.groupBy("_ref_period").agg(
+        F.count(F.lit(1)).alias("registros"),
+        F.sum("passenger_count").alias("soma_passageiros"),
+        F.round(F.sum("total_amount"), 2).alias("soma_valor"),
+    )
+
+
+@register("partition_overwrite")
+def partition_overwrite(spark, sf_dir):
+    """Load every period, reload the focus month's file period
+    twice through the single-partition overwrite; rows per period."""
+    paths = _landing(spark, sf_dir)
+    t = _tables()
+    MD.load_bronze_all(spark, paths, t)
+    for _ in range(2):
+        MD.load_bronze_period(spark, paths[FOCUS], FOCUS, t)
+    return spark.table(t.bronze).groupBy("_ref_period").agg(
+        F.count(F.lit(1)).alias("registros"),
+        F.countDistinct("_ingested_at").alias("lotes_distintos"),
+    )
+
+
+@register("medallion_roundtrip")
+def medallion_roundtrip(spark, sf_dir):
+    """Landing -> bronze -> silver + quarantine -> gold
+    tables; returns the gold monthly table."""
+    paths = _landing(spark, sf_dir)
+    t = _tables()
+    MD.load_bronze_all(spark, paths, t)
+    MD.build_silver(spark, SCOPE, t)
+    MD.build_gold(spark, FOCUS, t)
+    return fixed_digits(spark.table(t.monthly))
+
+
+@register("landing_listing")
+def landing_listing(spark, sf_dir):
+    """The driver's Parquet files with sizes (no content read)."""
+    from tripledger.sources.landing import landing_listing as listing
+
+    return listing(spark, sf_dir)
+
+
+@register("landing_fingerprint")
+def landing_fingerprint(spark, sf_dir):
+    """L1: SHA-256 and size of each of the driver's Parquet files."""
+    from tripledger.sources.landing import landing_fingerprint as fingerprint
+
+    return fingerprint(spark, sf_dir)
+
+
+@register("schema_probe")
+def schema_probe(spark, sf_dir):
+    """Columns and types of each driver table, from the footers."""
+    from functools import reduce
+
+    from tripledger.sources.landing import schema_probe as probe
+
+    frames = [probe(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TD.TABLES]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landing runs over the driver's files: the first against an empty
+    manifest (everything loads) and appends its records; the second against
+    that manifest (everything unchanged is skipped)."""
+    from tripledger.operators import ingest as I
+    from tripledger.session import scratch_path
+    from tripledger.sources.landing import MANIFEST_SCHEMA, landing_fingerprint, read_manifest
+
+    fp = landing_fingerprint(spark, sf_dir).withColumn(
+        "period", F.regexp_extract("landing_path", r"([^/]+)\.parquet$", 1))
+    manifest_dir = scratch_path(spark, "manifest")
+    empty = spark.createDataFrame([], MANIFEST_SCHEMA)
+    first = I.ingest_decision(fp, empty)
+    I.manifest_records(first).write.mode("append").json(manifest_dir)
+    second = I.ingest_decision(fp, read_manifest(spark, manifest_dir))
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+
+
+@register("ingest_decision")
+def ingest_decision(spark, sf_dir):
+    """L2 + L3: load/skip decision per landed file over two runs."""
+    return _decisions(spark, sf_dir)
+
+
+@register("ingest_summary")
+def ingest_summary(spark, sf_dir):
+    """Files and MiB per status, per run."""
+    from tripledger.operators import ingest as I
+
+    return I.ingest_summary(_decisions(spark, sf_dir), by=("run",))

@@ -112,3 +112,41 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("_ref_period", 1, 4).cast("int").alias("_ref_year"),
         F.substring("_ref_period", 6, 2).cast("int").alias("_ref_month"),
     )
+
+
+def write_trip_landing(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """Write the trips as a landing zone, one folder per file period, and
+    return ``{period: folder}``.
+
+    The months drift the way the original monthly files do: even months store
+    ids as int32 with ``airport_fee``; odd months store them as int64, spell
+    the fee ``Airport_fee`` and carry an extra column the canonical schema
+    does not know.  Two Spark jobs write all periods (one per schema), each
+    partitioned by ``ref_year``/``ref_month``.
+    """
+    base = trips(spark, sf_dir).select(
+        "*",
+        F.substring("_ref_period", 1, 4).alias("ref_year"),
+        F.substring("_ref_period", 6, 2).alias("ref_month"),
+        F.when(F.col("PULocationID").isin(132, 138), F.lit(1.75)).otherwise(F.lit(0.0))
+        .alias("fee"),
+    )
+    core = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "total_amount"]
+    even = base.filter(F.col("ref_month").cast("int") % 2 == 0).select(
+        "VendorID", *core, "passenger_count", "PULocationID", "DOLocationID",
+        F.col("fee").alias("airport_fee"), "ref_year", "ref_month",
+    )
+    odd = base.filter(F.col("ref_month").cast("int") % 2 == 1).select(
+        F.col("VendorID").cast("long").alias("VendorID"), *core,
+        F.col("passenger_count").cast("long").alias("passenger_count"),
+        F.col("PULocationID").cast("long").alias("PULocationID"),
+        F.col("DOLocationID").cast("long").alias("DOLocationID"),
+        F.col("fee").alias("Airport_fee"),
+        (F.col("fee") * 0).alias("cbd_congestion_fee"),
+        "ref_year", "ref_month",
+    )
+    target = f"{root.rstrip('/')}/yellow_tripdata"
+    for part in (even, odd):
+        part.write.mode("append").partitionBy("ref_year", "ref_month").parquet(target)
+    periods = [r[0] for r in trips(spark, sf_dir).select("_ref_period").distinct().collect()]
+    return {p: f"{target}/ref_year={p[:4]}/ref_month={p[5:]}" for p in sorted(periods)}
