@@ -86,8 +86,8 @@ def count_if(cond: Column) -> Column:
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:
-    """``round(100 * part / whole, digits)`` as DOUBLE."""
-    return F.round(F.lit(100.0) * part.cast("double") / whole.cast("double"), digits)
+    """``round(100 * part / whole, digits)`` as DOUBLE; NULL when whole is 0."""
+    return F.round(F.try_divide(F.lit(100.0) * part.cast("double"), whole.cast("double")), digits)
 
 
 def hour_label(col: str | Column) -> Column:

@@ -3,9 +3,10 @@
 The single-row profiles (A15 to A18, A22) are projections of one fused
 aggregate, :func:`global_profile`.  Catalyst prunes the aggregate expressions
 a projection does not use, so a single profile costs only its own work while
-asking for all of them costs one scan and one aggregate.  Counting distinct
-values is done in two phases (group by the value first) so no ``Expand``
-multiplies the rows.
+asking for all of them costs one scan and one aggregate.  Distinct counts
+are done in two phases (group by the values first), so the ``Expand`` that
+Spark uses for several distinct counts runs over the aggregated pairs, never
+over the trips.
 """
 
 from __future__ import annotations

@@ -6,9 +6,12 @@ work folder (``spark.checkpoint.dir``) so every executor of a cluster writes
 to the same place.  Row counts of a write come from an ``Observation`` on the
 written plan, not from a second scan of the table.
 
-Partition overwrite uses ``INSERT OVERWRITE TABLE t PARTITION (p = 'x')``:
-on Parquet tables it replaces exactly that partition (also with empty input)
-and leaves the others alone, which the writer-level overwrite modes do not.
+Partition overwrite is ``INSERT OVERWRITE TABLE t PARTITION (p) SELECT ...``
+in dynamic mode: the new files are staged and only the partitions present in
+the data are swapped in at commit, so other partitions are never touched and a
+failed job changes nothing.  (On Parquet tables the writer-level overwrite
+modes wipe other partitions, and a static-partition overwrite deletes the old
+partition before the job runs.)
 """
 
 from __future__ import annotations
@@ -67,7 +70,9 @@ def overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
     Creates the partitioned table on first use.  Every row must carry
     ``partition_col == value``: a row outside it fails the write (checked
     inside the same scan, no extra pass), as the predicate of a selective
-    overwrite would.  An empty ``df`` empties the partition.
+    overwrite would.  The new files are staged and swapped in when the job
+    commits, so a failed or interrupted job leaves the old partition intact.
+    An empty ``df`` empties the partition.
     """
     _check_ident(table)
     _check_ident(partition_col)
@@ -75,35 +80,23 @@ def overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
     if not other:
         raise ValueError("nothing to write besides the partition column")
     guarded = df.select(
-        F.when(
-            F.col(partition_col).eqNullSafe(F.lit(value)), F.col(other[0])
-        ).otherwise(
-            F.raise_error(F.lit(f"row outside partition {partition_col} = {value}"))
-        ).alias(other[0]),
-        *other[1:],
-        partition_col,
+        *other,
+        F.when(F.col(partition_col).eqNullSafe(F.lit(value)), F.col(partition_col))
+        .otherwise(F.raise_error(F.lit(f"row outside partition {partition_col} = {value}")))
+        .alias(partition_col),
     )
-    observed, obs = _observed(guarded, f"write_{table}_{value}".replace(".", "_"))
-    if not table_exists(spark, table):
-        (observed.select(*other, partition_col).write.format("parquet")
-         .mode("errorifexists").partitionBy(partition_col)
-         .option("path", table_location(spark, table)).saveAsTable(table))
-    else:
-        # The insert is positional: follow the table's own column order.
-        table_cols = [c for c in spark.table(table).columns if c != partition_col]
-        if sorted(table_cols) != sorted(other):
-            raise ValueError(f"columns of {table} differ from the input: "
-                             f"{sorted(set(table_cols) ^ set(other))}")
-        other = table_cols
-        view = f"_tl_src_{abs(hash((table, value))) % 10**9}"
-        observed.select(*other).createOrReplaceTempView(view)
-        cols = ", ".join(f"`{c}`" for c in other)
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} "
-            f"PARTITION ({partition_col} = {_quote_literal(value)}) SELECT {cols} FROM {view}"
-        )
+    rows = overwrite_partitions(spark, guarded, table, partition_col)
+    if rows == 0 and table_exists(spark, table):
+        # Nothing was staged, so nothing replaced the old partition: empty it.
+        cols = [c for c in spark.table(table).columns if c != partition_col]
+        view = f"_tl_empty_{abs(hash((table, value))) % 10**9}"
+        df.select(*cols).limit(0).createOrReplaceTempView(view)
+        col_list = ", ".join(f"`{c}`" for c in cols)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} "
+                  f"PARTITION ({partition_col} = {_quote_literal(value)}) "
+                  f"SELECT {col_list} FROM {view}")
         spark.catalog.dropTempView(view)
-    return int(obs.get.get("rows", 0))
+    return rows
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, table: str,

@@ -181,6 +181,11 @@ def read_landing_grouped(spark: SparkSession, paths: dict[str, str],
     of each row comes from its file path."""
     out = None
     for group in schema_groups(spark, paths):
+        if not all(_path_names_period(paths[p], p) for p in group):
+            # Paths that do not carry their period: one scan per period.
+            df = read_periods(spark, {p: paths[p] for p in group}, types)
+            out = df if out is None else out.unionByName(df)
+            continue
         raw = spark.read.parquet(*[paths[p] for p in group])
         label = f"{group[0]}..{group[-1]}" if len(group) > 1 else group[0]
         proj = canonical_projection(raw.columns, label, types, required)
@@ -197,3 +202,11 @@ def read_landing_grouped(spark: SparkSession, paths: dict[str, str],
     if out is None:
         raise ValueError("no periods given")
     return out
+
+
+def _path_names_period(path: str, period: str) -> bool:
+    """Whether ``period_from_path`` can read ``period`` off every file under
+    ``path`` (a ``ref_year=/ref_month=`` folder or a dated file name)."""
+    year, month = period.split("-")
+    return (f"ref_year={year}" in path and f"ref_month={month}" in path) or \
+        path.rstrip("/").endswith(f"{period}.parquet")
