@@ -165,9 +165,15 @@ def schema_groups(spark: SparkSession, paths: dict[str, str]) -> list[list[str]]
 
     One footer read per period on the driver: metadata only, the number of
     periods, never the rows."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    items = sorted(paths.items())
+    # Footer reads are independent planning calls; issue them concurrently.
+    with ThreadPoolExecutor(max_workers=max(1, min(16, len(items)))) as pool:
+        schemas = list(pool.map(lambda kv: spark.read.parquet(kv[1]).schema.json(), items))
     groups: dict[str, list[str]] = {}
-    for period, path in sorted(paths.items()):
-        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(period)
+    for (period, _), schema in zip(items, schemas):
+        groups.setdefault(schema, []).append(period)
     return list(groups.values())
 
 

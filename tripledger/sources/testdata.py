@@ -11,6 +11,8 @@ Money goes through DECIMAL so no engine-specific double rounding enters.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,6 +149,10 @@ def write_trip_landing(spark: SparkSession, sf_dir: str, root: str) -> dict[str,
     )
     target = f"{root.rstrip('/')}/yellow_tripdata"
     for part in (even, odd):
-        part.write.mode("append").partitionBy("ref_year", "ref_month").parquet(target)
-    periods = [r[0] for r in trips(spark, sf_dir).select("_ref_period").distinct().collect()]
-    return {p: f"{target}/ref_year={p[:4]}/ref_month={p[5:]}" for p in sorted(periods)}
+        # Rebalance by the folder columns: one writer per period folder and
+        # the writers spread over all cores (AQE splits an oversized period).
+        (part.hint("rebalance", "ref_year", "ref_month")
+         .write.mode("append").partitionBy("ref_year", "ref_month").parquet(target))
+    folders = {re.search(r"(ref_year=\d{4}/ref_month=\d{2})", f).group(1)
+               for f in spark.read.parquet(target).inputFiles()}
+    return {f"{d[9:13]}-{d[-2:]}": f"{target}/{d}" for d in sorted(folders)}
