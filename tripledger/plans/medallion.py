@@ -171,27 +171,32 @@ def affected_months(spark: SparkSession, periods: list[str], tables: Tables = Ta
 def refresh_silver(spark: SparkSession, periods: list[str], scope: Scope,
                    tables: Tables = Tables(), spec: TripSpec = DEFAULT_SPEC) -> dict[str, int]:
     """Bring silver and quarantine up to date after bronze ``periods``
-    were reloaded, rewriting only what can have changed.
+    were reloaded, rewriting only what can have changed, in two jobs:
 
-    * quarantine: the partitions of the reloaded periods, from their bronze
+    * quarantine: its partitions for the reloaded periods, from their bronze
       partitions (partition pruning on both sides);
     * silver: every affected trip month, rebuilt from all of bronze with the
-      month's pickup range pushed to the scan, one static-partition insert
-      per month (an emptied month ends up empty, not stale).
+      months' pickup ranges pushed to the scan.
+
+    Both are staged partition replacements, so an emptied month or period
+    ends up empty, not stale, and a failure leaves the tables as they were.
+    The affected months are a small distinct set (one row per month).
     """
     months = sorted(r[0] for r in affected_months(spark, periods, tables, spec).collect())
+    months = [m for m in months if scope.first <= m <= scope.last]  # silver holds no others
     bronze = spark.table(tables.bronze)
-    counts = {"quarentena": 0, "silver": 0, "meses": len(months)}
-    for p in periods:
-        part = Q.classify(bronze.filter(F.col(BRONZE_PARTITION) == p), scope, spec)
-        counts["quarentena"] += W.overwrite_partition(
-            spark, Q.stamp_processed(Q.discarded_rows(part)), tables.quarantine,
-            BRONZE_PARTITION, p)
-    for m in months:
-        rows = Q.classify(bronze.filter(T.in_month(m, spec.pickup)), scope, spec)
-        valid = Q.stamp_processed(Q.valid_rows(rows)).filter(F.col(SILVER_PARTITION) == m)
-        counts["silver"] += W.overwrite_partition(spark, valid, tables.silver, SILVER_PARTITION, m)
-    return counts
+    part = Q.classify(bronze.filter(F.col(BRONZE_PARTITION).isin(periods)), scope, spec)
+    n_q = W.replace_partitions(spark, Q.stamp_processed(Q.discarded_rows(part)),
+                               tables.quarantine, BRONZE_PARTITION, periods)
+    n_s = 0
+    if months:
+        in_months = F.lit(False)
+        for m in months:
+            in_months = in_months | T.in_month(m, spec.pickup)
+        rows = Q.classify(bronze.filter(in_months), scope, spec)
+        valid = Q.stamp_processed(Q.valid_rows(rows))
+        n_s = W.replace_partitions(spark, valid, tables.silver, SILVER_PARTITION, months)
+    return {"quarentena": n_q, "silver": n_s, "meses": len(months)}
 
 
 def conservation_tables(spark: SparkSession, tables: Tables = Tables()) -> DataFrame:

@@ -63,42 +63,63 @@ def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
-                        partition_col: str, value: str) -> int:
-    """Replace one partition of ``table`` with ``df``; returns rows written.
-
-    Creates the partitioned table on first use.  Every row must carry
-    ``partition_col == value``: a row outside it fails the write (checked
-    inside the same scan, no extra pass), as the predicate of a selective
-    overwrite would.  The new files are staged and swapped in when the job
-    commits, so a failed or interrupted job leaves the old partition intact.
-    An empty ``df`` empties the partition.
-    """
+def replace_partitions(spark: SparkSession, df: DataFrame, table: str,
+                       partition_col: str, values: list[str]) -> int:
+    """W1 for a known set of partitions: afterwards, partition ``v`` of
+    ``table`` holds exactly the rows of ``df`` with ``partition_col == v``,
+    for every ``v`` in ``values`` (possibly none), and nothing else changed.
+
+    One staged write: a row outside ``values`` fails the job (checked in the
+    same scan), the new files are swapped in at commit so a failed job
+    changes nothing, and the values that received no rows (seen through an
+    observation on the write, not a second pass) are emptied afterwards.
+    Returns the rows written."""
     _check_ident(table)
     _check_ident(partition_col)
+    values = sorted(set(values))
     other = [c for c in df.columns if c != partition_col]
     if not other:
         raise ValueError("nothing to write besides the partition column")
+    pcol = F.col(partition_col)
     guarded = df.select(
         *other,
-        F.when(F.col(partition_col).eqNullSafe(F.lit(value)), F.col(partition_col))
-        .otherwise(F.raise_error(F.lit(f"row outside partition {partition_col} = {value}")))
+        F.when(pcol.isin(*values), pcol)
+        .otherwise(F.raise_error(F.concat(F.lit(f"row outside partitions {partition_col} in "
+                                                f"{values}: "), F.coalesce(pcol, F.lit("NULL")))))
         .alias(partition_col),
     )
+    seen_obs = Observation(f"seen_{table}".replace(".", "_"))
+    guarded = guarded.observe(seen_obs, F.collect_set(partition_col).alias("seen"))
     rows = overwrite_partitions(spark, guarded, table, partition_col)
-    if rows == 0 and table_exists(spark, table):
-        # Nothing was staged, so nothing replaced the old partition: empty it.
+    seen = set(seen_obs.get.get("seen") or [])
+    if table_exists(spark, table):
         cols = [c for c in spark.table(table).columns if c != partition_col]
-        view = f"_tl_empty_{abs(hash((table, value))) % 10**9}"
-        df.select(*cols).limit(0).createOrReplaceTempView(view)
-        col_list = ", ".join(f"`{c}`" for c in cols)
-        spark.sql(f"INSERT OVERWRITE TABLE {table} "
-                  f"PARTITION ({partition_col} = {_quote_literal(value)}) "
-                  f"SELECT {col_list} FROM {view}")
-        spark.catalog.dropTempView(view)
+        for value in values:
+            if value in seen:
+                continue
+            # Nothing was staged for it, so nothing replaced it: empty it.
+            view = f"_tl_empty_{abs(hash((table, value))) % 10**9}"
+            df.select(*cols).limit(0).createOrReplaceTempView(view)
+            col_list = ", ".join(f"`{c}`" for c in cols)
+            spark.sql(f"INSERT OVERWRITE TABLE {table} "
+                      f"PARTITION ({partition_col} = {_quote_literal(value)}) "
+                      f"SELECT {col_list} FROM {view}")
+            spark.catalog.dropTempView(view)
     return rows
 
 
+def overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
+                        partition_col: str, value: str) -> int:
+    """Replace one partition of ``table`` with ``df``; returns rows written.
+
+    Creates the partitioned table on first use.  Every row must carry
+    ``partition_col == value`` (a row outside it fails the write, as the
+    predicate of a selective overwrite would); a failed or interrupted job
+    leaves the old partition intact; an empty ``df`` empties the partition.
+    """
+    return replace_partitions(spark, df, table, partition_col, [value])
+
+
 def overwrite_partitions(spark: SparkSession, df: DataFrame, table: str,
                          partition_col: str) -> int:
     """W1 for many partitions at once: replace exactly the partitions present
