@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from tripledger.config import (
     DEFAULT_SPEC,
     FLAG_COLUMNS,
-    PERCENTILE_ACCURACY,
     REASON_COLUMN,
     REQUIRED_COLUMNS,
     Scope,
     TripSpec,
 )
 from tripledger.functions import trips as T
+from tripledger.operators.quantiles import exact_quantiles
 
 # Quantiles of the amount distribution (A17), in output order.
 AMOUNT_QUANTILES = (("p01", 0.01), ("p25", 0.25), ("mediana", 0.5), ("p75", 0.75),
@@ -117,12 +117,11 @@ def month_sources(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame
     )
 
 
-def global_profile(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC,
-                   accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
-    """One row with every single-row bronze profile."""
+def global_profile(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
+    """One row with the single-row bronze profiles (A15 to A18, A22) except
+    their quantiles, which :func:`_with_quantiles` adds."""
     secs = T.elapsed_seconds(spec)
     amount = F.col(spec.amount)
-    quantiles = F.percentile_approx(amount, [q for _, q in AMOUNT_QUANTILES], accuracy)
     aggs = [
         F.count(F.lit(1)).alias("total"),
         # A15 duration
@@ -131,7 +130,6 @@ def global_profile(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC,
         T.count_if(secs == 0).alias("duracao_zero"),
         T.count_if(secs > 86400).alias("acima_de_24h"),
         F.round(F.avg(secs) / 60, 1).alias("media_minutos"),
-        F.round(F.percentile_approx(secs, 0.5, accuracy) / 60, 1).alias("mediana_minutos"),
         F.round(F.max(secs) / 3600, 1).alias("maximo_horas"),
         # A16 non-positive amounts
         T.count_if(amount.isNull()).alias("nulos"),
@@ -141,7 +139,6 @@ def global_profile(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC,
         F.round(F.sum(F.when(amount < 0, amount).otherwise(F.lit(0.0))), 2).alias("soma_dos_negativos"),
         # A17 distribution
         F.round(F.min(amount), 2).alias("minimo"),
-        quantiles.alias("_q"),
         F.round(F.avg(amount), 2).alias("media"),
         F.round(F.max(amount), 2).alias("maximo"),
         # A18 outlier weight
@@ -153,12 +150,9 @@ def global_profile(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC,
     aggs += [T.count_if(F.col(c).isNull()).alias(NULL_COUNT_NAMES.get(c, f"{c}_nulo"))
              for c in _required_names(spec)]
     row = bronze.agg(*aggs)
-    quantile_cols = [F.round(F.col("_q")[i], 2).alias(n) for i, (n, _) in enumerate(AMOUNT_QUANTILES)]
     return row.select(
-        "*",
-        T.percent(F.col("_nao_positivos"), F.col("total"), 4).alias("pct_nao_positivos"),
-        *quantile_cols,
-    ).drop("_q", "_nao_positivos")
+        "*", T.percent(F.col("_nao_positivos"), F.col("total"), 4).alias("pct_nao_positivos"),
+    ).drop("_nao_positivos")
 
 
 def _required_names(spec: TripSpec) -> list[str]:
@@ -174,12 +168,26 @@ def _required_names(spec: TripSpec) -> list[str]:
     return [by_default[c] for c in order]
 
 
+def _with_quantiles(row: DataFrame, quantiles: DataFrame, order: list[str]) -> DataFrame:
+    """Put two one-row frames side by side without a join: union them (each
+    column present on one side only) and take the non-NULL value of each."""
+    both = row.unionByName(quantiles, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).select(*order)
+
+
 def duration_profile(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
-    """Duration counts by sign, over 24 h, mean/median minutes, max hours."""
-    return global_profile(bronze, spec).select(
+    """Duration counts by sign, over 24 h, mean/median minutes, max hours.
+
+    The median is exact (see :mod:`tripledger.operators.quantiles`)."""
+    base = global_profile(bronze, spec).select(
         "total", "sem_duracao", "duracao_negativa", "duracao_zero", "acima_de_24h",
-        "media_minutos", "mediana_minutos", "maximo_horas",
+        "media_minutos", "maximo_horas",
     )
+    med = exact_quantiles(bronze, T.elapsed_seconds(spec), [("_med", 0.5)]).select(
+        F.round(F.col("_med") / 60, 1).alias("mediana_minutos"))
+    return _with_quantiles(base, med, [
+        "total", "sem_duracao", "duracao_negativa", "duracao_zero", "acima_de_24h",
+        "media_minutos", "mediana_minutos", "maximo_horas"])
 
 
 def amount_nonpositive(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
@@ -190,10 +198,13 @@ def amount_nonpositive(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> Data
 
 
 def amount_distribution(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
-    """Min, p01, p25, median, mean, p75, p99, p99.99, max (2 dp)."""
-    return global_profile(bronze, spec).select(
-        "minimo", "p01", "p25", "mediana", "media", "p75", "p99", "p9999", "maximo",
-    )
+    """Min, p01, p25, median, mean, p75, p99, p99.99, max (2 dp); the
+    quantiles are exact (see :mod:`tripledger.operators.quantiles`)."""
+    base = global_profile(bronze, spec).select("minimo", "media", "maximo")
+    q = exact_quantiles(bronze, spec.amount, list(AMOUNT_QUANTILES))
+    q = q.select(*[F.round(n, 2).alias(n) for n, _ in AMOUNT_QUANTILES])
+    return _with_quantiles(base, q, [
+        "minimo", "p01", "p25", "mediana", "media", "p75", "p99", "p9999", "maximo"])
 
 
 def outlier_weight(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
