@@ -54,11 +54,7 @@ def test_exact_quantiles_never_window_over_raw_rows(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_orders_not_broadcast_beyond_threshold(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        p = plan(R.classified(spark, SF_SMALL))
-        assert "BroadcastExchange" not in p
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_fact_join_is_sort_merge_never_broadcast(spark):
+    p = plan(R.classified(spark, SF_SMALL))
+    assert "SortMergeJoin" in p and "BroadcastExchange" not in p
     assert F is not None

@@ -36,10 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def trips(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
     """Bronze-shaped trips: canonical names, ``_ref_period`` of the 'file'.
 
-    The join is an equi-join on the order key: Spark broadcasts ``orders`` only
-    when its measured size is under ``autoBroadcastJoinThreshold`` and uses a
-    shuffled join otherwise, so nothing unbounded is broadcast.  Only the
-    columns used below are read from either table.  ``with_source`` adds
+    The join is an equi-join of two fact tables on the order key.  ``orders``
+    grows with ``lineitem`` (about a quarter of its rows), so it has no size
+    bound and is never broadcast: the ``merge`` hint asks for a sort-merge join,
+    which spills rather than needing a side in memory and whose skewed
+    partitions AQE splits.  Only the columns used below are read.  ``with_source`` adds
     ``_source_file``, the file each row was read from (scan metadata).
     """
     li_cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -47,7 +48,7 @@ def trips(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFr
     li = table(spark, sf_dir, "lineitem")
     li = li.select(*li_cols, F.col("_metadata.file_path").alias("_source_file")) \
         if with_source else li.select(*li_cols)
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").hint("merge")
     j = li.join(od, li.l_orderkey == od.o_orderkey)
 
     shift_days = F.when(F.col("l_linenumber") == 6, F.lit(3)).otherwise(F.lit(0))
