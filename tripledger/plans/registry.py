@@ -444,7 +444,11 @@ def schema_probe(spark, sf_dir):
 
     from tripledger.sources.landing import schema_probe as probe
 
-    frames = [probe(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TD.TABLES]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(TD.TABLES)) as pool:
+        frames = list(pool.map(lambda t: probe(spark, f"{sf_dir.rstrip('/')}/{t}.parquet"),
+                               TD.TABLES))
     return reduce(DataFrame.unionByName, frames)
 
 

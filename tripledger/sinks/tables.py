@@ -186,7 +186,7 @@ def record_load(spark: SparkSession, history_table: str, table: str,
     rec = spark.createDataFrame(
         [(table, partition_value, int(rows), _dt.datetime.now(_dt.timezone.utc))], HISTORY_SCHEMA
     )
-    (rec.write.format("parquet").mode("append")
+    (rec.coalesce(1).write.format("parquet").mode("append")
      .option("path", table_location(spark, history_table)).saveAsTable(history_table))
 
 
