@@ -482,3 +482,30 @@ def ingest_summary(spark, sf_dir):
     from tripledger.operators import ingest as I
 
     return I.ingest_summary(_decisions(spark, sf_dir), by=("run",))
+
+
+@register("sql_twins_agree")
+def sql_twins_agree(spark, sf_dir):
+    """U2/C3 across APIs: Spark SQL twins against the DataFrame operators
+    (A3, A4, A12, A14, A21); every count is 0 when they agree."""
+    from tripledger.plans import sql as S
+
+    b = bronze(spark, sf_dir)
+    m, h = monthly(spark, sf_dir), hourly(spark, sf_dir)
+    pairs = {
+        "divergencias_a3": (S.monthly_report_sql(spark, m), M.monthly_report(m)),
+        "divergencias_a4": (S.hourly_report_sql(spark, h), M.hourly_report(h)),
+        "divergencias_a12": (S.reload_detector_sql(spark, b), P.reload_detector(b)),
+        "divergencias_a14": (S.month_sources_sql(spark, b).withColumn(
+            "arquivos_de_origem", F.array_join("arquivos_de_origem", ",")),
+            P.month_sources(b).withColumn("arquivos_de_origem",
+                                          F.array_join("arquivos_de_origem", ","))),
+        "divergencias_a21": (S.duplicate_summary_sql(spark, b), P.duplicate_summary(b)),
+    }
+    rows = [C.symmetric_difference(a, d.select(*a.columns))
+            .select(F.lit(name).alias("_k"), "divergencias") for name, (a, d) in pairs.items()]
+    from functools import reduce
+
+    both = reduce(DataFrame.unionByName, rows)
+    return both.agg(*[F.max(F.when(F.col("_k") == n, F.col("divergencias"))).alias(n)
+                      for n in pairs])
