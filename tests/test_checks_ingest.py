@@ -45,3 +45,22 @@ def test_ingest_decisions(spark, tmp_path):
                I.ingest_summary(I.ingest_decision(landing_fingerprint(spark, str(tmp_path)),
                                                   manifest)).collect()}
     assert summary == {"load": 2, "skip": 1}
+
+
+def test_required_present_and_volume_band(spark):
+    df = spark.createDataFrame([(1, 2)], "vendorid int, PASSENGER_COUNT int")
+    assert C.required_present(df) == ["total_amount", "tpep_dropoff_datetime",
+                                      "tpep_pickup_datetime"]
+    vol = spark.createDataFrame([("2023-01", 3_000_000, 1), ("2023-02", 10, 2)],
+                                "_ref_period string, registros long, arquivos_origem long")
+    got = {r._ref_period: (r.um_arquivo, r.volume_na_faixa)
+           for r in C.volume_band(vol, 2_900_000, 3_500_000).collect()}
+    assert got == {"2023-01": (True, True), "2023-02": (False, False)}
+
+
+def test_conservation_counts(spark):
+    a = spark.range(10)
+    c = C.conservation(a, a.filter("id < 7"), a.filter("id >= 7")).collect()[0]
+    assert (c.bronze, c.silver, c.quarentena, c.diferenca) == (10, 7, 3, 0)
+    c = C.conservation(a, a.filter("id < 7"), a.filter("id > 7")).collect()[0]
+    assert c.diferenca == -1

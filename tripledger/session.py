@@ -44,6 +44,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _local_heap() -> str:
+    """Heap for a local run: 60% of physical memory, at most 16 GiB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tripledger") -> SparkSession:
     """Build (or reuse) a local session for tests and benchmarks.
@@ -60,7 +69,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         # local filesystem, which double the cost of every small file written.
         .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("TRIPLEDGER_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("TRIPLEDGER_DRIVER_MEMORY",
+                                                      _local_heap()))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tripledger-wh-"))
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tripledger-ckpt-"))
     )
