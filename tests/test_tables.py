@@ -125,3 +125,20 @@ def test_failed_period_is_isolated(spark, tmp_path):
                       "2023-04": "failed"}
     with pytest.raises(RuntimeError, match="2023-04"):
         MD.assert_complete(results)
+
+
+def test_describe_and_namespaces(spark):
+    db = unique_name("ns")
+    W.ensure_namespaces(spark, (db,))
+    W.ensure_namespaces(spark, (db,))  # idempotent
+    assert db in {r[0] for r in spark.sql("SHOW DATABASES").collect()}
+    t = f"{db}.t"
+    W.rebuild(spark, spark.createDataFrame([(1, "a", "x")], SCHEMA), t, "p")
+    cols = [r.col_name for r in W.describe(spark, t).collect()]
+    assert cols[:3] == ["k", "v", "p"]
+    assert W.table_exists(spark, t) and not W.table_exists(spark, f"{db}.missing")
+
+
+def test_not_a_plain_name_is_refused(spark):
+    with pytest.raises(ValueError):
+        W.rebuild(spark, spark.createDataFrame([(1, "a", "x")], SCHEMA), "x; DROP TABLE y")

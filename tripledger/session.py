@@ -33,7 +33,6 @@ EXECUTION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-    "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
 

@@ -18,12 +18,16 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import threading
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.session import work_root
 
+_OVERWRITE_MODE_LOCK = threading.Lock()
+
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
 
@@ -98,7 +102,7 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table: str,
             if value in seen:
                 continue
             # Nothing was staged for it, so nothing replaced it: empty it.
-            view = f"_tl_empty_{abs(hash((table, value))) % 10**9}"
+            view = f"_tl_empty_{uuid.uuid4().hex[:12]}"
             df.select(*cols).limit(0).createOrReplaceTempView(view)
             col_list = ", ".join(f"`{c}`" for c in cols)
             spark.sql(f"INSERT OVERWRITE TABLE {table} "
@@ -140,18 +144,19 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, table: str,
     if sorted(table_cols) != sorted(other):
         raise ValueError(f"columns of {table} differ from the input: "
                          f"{sorted(set(table_cols) ^ set(other))}")
-    view = f"_tl_src_{abs(hash((table, 'dyn'))) % 10**9}"
+    view = f"_tl_src_{uuid.uuid4().hex[:12]}"
     observed.select(*table_cols, partition_col).createOrReplaceTempView(view)
     cols = ", ".join(f"`{c}`" for c in [*table_cols, partition_col])
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col}) "
-                  f"SELECT {cols} FROM {view}")
-    finally:
-        spark.conf.set(key, before)
-        spark.catalog.dropTempView(view)
+    with _OVERWRITE_MODE_LOCK:  # the mode is a session setting: no interleaving
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col}) "
+                      f"SELECT {cols} FROM {view}")
+        finally:
+            spark.conf.set(key, before)
+            spark.catalog.dropTempView(view)
     return int(obs.get.get("rows", 0))
 
 
