@@ -40,3 +40,50 @@ def test_global_quantiles_and_approx_agree_on_small_data(spark):
     ap = approx_quantiles(df, "v", PROBS).collect()[0]
     for name, q in PROBS:
         assert ex[name] == brute(list(range(1, 1001)), q) == ap[name]
+
+
+EXTREMES = [float("-inf"), -1.7e308, -5000.0, -1.0, -1e-300, -5e-324, 0.0, -0.0, 5e-324,
+            1e-300, 0.01, 0.99, 1.0, 1.0000001, 2.0, 12.5, 1024.0, 1e15, 1.7e308,
+            float("inf"), float("nan")]
+
+
+def _spark_order_key(x):
+    # Spark orders NaN after every other double, and -0.0 equal to 0.0.
+    return (1, 0.0) if math.isnan(x) else (0, x + 0.0)
+
+
+def test_value_bucket_preserves_order(spark):
+    from pyspark.sql import functions as F
+
+    from tripledger.operators.quantiles import value_bucket
+
+    rnd = random.Random(11)
+    values = EXTREMES + [rnd.uniform(-1e6, 1e6) for _ in range(500)] + \
+        [rnd.choice([-1, 1]) * 2.0 ** rnd.uniform(-1070, 1020) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    rows = df.select("v", value_bucket(F.col("v")).alias("b")).collect()
+    rows.sort(key=lambda r: _spark_order_key(r.v))
+    buckets = [r.b for r in rows]
+    assert buckets == sorted(buckets)
+    assert all(b is not None for b in buckets)
+
+
+def test_exact_quantiles_with_extreme_values_and_a_hot_value(spark):
+    rnd = random.Random(3)
+    values = EXTREMES * 3 + [12.5] * 2000 + [rnd.uniform(-100, 100) for _ in range(1500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    probs = PROBS + [("p0", 0.0), ("p100", 1.0), ("p999", 0.999)]
+    got = exact_quantiles(df, "v", probs).collect()[0]
+    ordered = sorted(values, key=_spark_order_key)
+    for name, q in probs:
+        want = ordered[max(1, math.ceil(q * len(ordered))) - 1]
+        g = got[name]
+        assert (math.isnan(g) and math.isnan(want)) or g == want, (name, g, want)
+
+
+def test_exact_quantiles_on_integer_durations(spark):
+    values = [None] * 5 + list(range(-600, 90000, 7)) + [0] * 300
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    got = exact_quantiles(df, "v", PROBS).collect()[0]
+    for name, q in PROBS:
+        assert got[name] == brute(values, q), name

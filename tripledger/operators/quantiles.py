@@ -4,13 +4,20 @@
 (1-based, at least 1) among the group's non-NULL values: the smallest value
 with at least a fraction ``q`` of the values at or below it.
 
-It never gathers a group's rows: values are first counted per (group, value),
-a combinable aggregate that is reduced map-side and shuffled by (group,
-value), so a hot group is spread over many tasks.  Only the distinct values of
-a group then meet in one window, sorted, to accumulate the counts.  For
-quantised measures (money in cents, durations in seconds) that is bounded by
-the value domain, not by the number of rows or of input tasks, unlike a
-mergeable sketch whose partial buffers all converge on one task per group.
+It never gathers a group's rows, nor all of a group's distinct values:
+
+1. values are counted per (group, value), a combinable aggregate reduced
+   map-side, so a hot value or a hot group costs one row per map task;
+2. each distinct value gets an order-preserving *bucket* (:func:`value_bucket`,
+   a fine logarithmic grid: 256 buckets per power of two and sign), and
+   running counts are taken within (group, bucket), so the distinct values of
+   one group are sorted by many tasks in parallel;
+3. bucket totals (at most a few thousand per group for any real measure) are
+   accumulated per group into bucket offsets, and joined back, so that
+   offset + running count is the rank of each distinct value.
+
+The only single-task step of a global (ungrouped) quantile is the running sum
+over bucket totals, whose size is fixed by the grid, not by rows or values.
 
 ``approx_quantiles`` is ``percentile_approx``: a mergeable sketch with bounded
 memory, used where the original metric is defined that way.
@@ -18,11 +25,51 @@ memory, used where the original metric is defined that way.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripledger.config import PERCENTILE_ACCURACY
 
+# Fixed values of the bucket grid: 256 buckets per power of two; the offset
+# keeps the bucket number of every finite non-zero double positive before the
+# sign is applied (log2 of a double lies within about -1075..1024).
+BUCKETS_PER_OCTAVE = 256
+BUCKET_OFFSET = 300_000
+NAN_BUCKET = 10_000_000
+INFINITY_BUCKET = 9_000_000
+NULL_BUCKET = -10_000_000
+
+
+def value_bucket(v: Column) -> Column:
+    """Order-preserving bucket number of a numeric value (bigint, never NULL).
+
+    ``x <= y`` implies ``bucket(x) <= bucket(y)`` in Spark's ordering (NaN
+    last, NULL first).  Non-zero finite values use
+    ``sign * (floor(log2|x| * 256) + offset)``; ``log2`` is monotone, so the
+    buckets are too, and each spans a relative width of about 0.27%."""
+    x = v.cast("double")
+    mag = F.floor(F.log2(F.abs(x)) * F.lit(BUCKETS_PER_OCTAVE)) + F.lit(BUCKET_OFFSET)
+    bucket = (
+        F.when(x.isNull(), F.lit(NULL_BUCKET))
+        .when(F.isnan(x), F.lit(NAN_BUCKET))
+        .when(x == F.lit(float("inf")), F.lit(INFINITY_BUCKET))
+        .when(x == F.lit(float("-inf")), F.lit(-INFINITY_BUCKET))
+        .when(x == 0, F.lit(0))
+        .when(x > 0, mag)
+        .otherwise(-mag)
+        .cast("long")
+    )
+    # Every branch is non-NULL already; the coalesce lets the optimizer know,
+    # so a join on the bucket infers no extra filter.
+    return F.coalesce(bucket, F.lit(NULL_BUCKET).cast("long"))
+
+
+# Most buckets a single group can have: both signs of the finite grid plus
+# zero, NaN, the infinities and NULL.  It bounds the ungrouped offset table.
+MAX_BUCKETS = 2 * 2100 * BUCKETS_PER_OCTAVE + 5
+
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[tuple[str, float]],
                     by: list[str] | tuple[str, ...] = ()) -> DataFrame:
@@ -36,15 +83,37 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[tuple[str, f
         df.select(*by, v.alias("_v"))
         .groupBy(*by, "_v")
         .agg(F.count("_v").alias("_c"))
+        .withColumn("_b", value_bucket(F.col("_v")))
     )
-    group = Window.partitionBy(*by)
-    running = group.orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    cum = hist.select(
-        *by, "_v",
-        F.sum("_c").over(running).alias("_cum"),
-        F.sum("_c").over(group).alias("_n"),
+    upto_here = (Window.unboundedPreceding, Window.currentRow)
+    in_bucket = Window.partitionBy(*by, "_b").orderBy(F.col("_v").asc_nulls_first()) \
+        .rowsBetween(*upto_here)
+    ranked = hist.select(*by, "_b", "_v", F.sum("_c").over(in_bucket).alias("_cin"))
+
+    per_group = Window.partitionBy(*by)
+    offsets = (
+        hist.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
+        .select(
+            *by, "_b",
+            (F.sum("_bc").over(per_group.orderBy("_b").rowsBetween(*upto_here))
+             - F.col("_bc")).alias("_off"),
+            F.sum("_bc").over(per_group).alias("_n"),
+        )
+        .withColumnsRenamed({c: f"_o_{c}" for c in by + ["_b"]})
     )
+    if not by:
+        # One row per bucket of the grid: at most MAX_BUCKETS rows of three
+        # longs (about 27 MB), whatever the data, so it is safe to broadcast,
+        # and the ranked values stay where the window left them.
+        offsets = F.broadcast(offsets)
+    # Group keys may be NULL, so they join null-safely (a plain equality would
+    # also let the optimizer push an inferred IS NOT NULL below one use of
+    # ``hist``, and the two uses would no longer share one exchange).
+    cond = reduce(lambda a, b: a & b,
+                  [ranked[c].eqNullSafe(offsets[f"_o_{c}"]) for c in by],
+                  ranked["_b"] == offsets["_o__b"])
+    cum = ranked.join(offsets, cond).select(
+        *by, "_v", (F.col("_off") + F.col("_cin")).alias("_cum"), "_n")
     picks = [
         F.min(F.when(F.col("_v").isNotNull()
                      & (F.col("_cum") >= F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("_n")))),
