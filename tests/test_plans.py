@@ -58,3 +58,33 @@ def test_fact_join_is_sort_merge_never_broadcast(spark):
     p = plan(R.classified(spark, SF_SMALL))
     assert "SortMergeJoin" in p and "BroadcastExchange" not in p
     assert F is not None
+
+
+def test_silver_pushes_the_implied_order_date_range_to_orders(spark):
+    p = plan(R.hourly_passengers(spark, SF_SMALL))
+    orders = [line for line in p.split("\n") if "orders.parquet" in line]
+    assert orders and "GreaterThanOrEqual(o_orderdate" in orders[0] \
+        and "LessThan(o_orderdate" in orders[0], orders
+
+
+def test_restricted_silver_equals_full_silver(spark):
+    """The implied order-date range drops no valid trip, for the scope and
+    for a one-month range; silver over the full join is the reference."""
+    from tripledger.config import Scope
+    from tripledger.operators import quality as Q
+    from tripledger.operators.checks import symmetric_difference
+
+    full = Q.valid_rows(R.classified(spark, SF_SMALL))
+    assert symmetric_difference(R.silver(spark, SF_SMALL), full).first()[0] == 0
+    month = Scope("1996-03", "1996-03")
+    in_month_rows = full.filter(F.col("pickup_year_month") == "1996-03")
+    got = R.silver(spark, SF_SMALL, month).filter(F.col("pickup_year_month") == "1996-03")
+    assert in_month_rows.count() > 0
+    assert symmetric_difference(got, in_month_rows).first()[0] == 0
+
+
+def test_exact_quantiles_window_is_keyed_by_bucket(spark):
+    """The running count over values is partitioned by bucket, and the only
+    unkeyed window runs over bucket totals (an aggregate of buckets)."""
+    p = plan(P.amount_distribution(R.bronze(spark, SF_SMALL)))
+    assert "windowspecdefinition(_b" in p

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from tripledger.config import Scope
 from tripledger.operators import checks as C
 from tripledger.operators import metrics as M
 from tripledger.operators import profile as P
@@ -53,8 +54,12 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.classify(TD.trips(spark, sf_dir), SCOPE)
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.valid_rows(classified(spark, sf_dir))
+def silver(spark: SparkSession, sf_dir: str, within: Scope = SCOPE) -> DataFrame:
+    """Valid trips.  Only trips that can have a pickup ``within`` the scope
+    (or the narrower range a query needs) are read and joined; the valid
+    rows of that range are exactly those of the full classification."""
+    trips = TD.trips(spark, sf_dir, pickup_scope=within)
+    return Q.valid_rows(Q.classify(trips, SCOPE))
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +71,7 @@ def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.hourly_passengers(silver(spark, sf_dir), FOCUS)
+    return M.hourly_passengers(silver(spark, sf_dir, Scope(FOCUS, FOCUS)), FOCUS)
 
 
 # --- silver -----------------------------------------------------------------
@@ -300,7 +305,7 @@ def implementations_agree(spark, sf_dir):
 @register("trip_sample")
 def trip_sample(spark, sf_dir):
     """20 trips of the focus month in a total order."""
-    return P.trip_sample(silver(spark, sf_dir), FOCUS)
+    return P.trip_sample(silver(spark, sf_dir, Scope(FOCUS, FOCUS)), FOCUS)
 
 
 # --- metrics stated in the analysis prose (D-series) -------------------------

@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 
 from tripledger.config import Scope
 
+# Fixed value of the adapter formula: the largest shift from the order date to
+# the pickup is 3 days + 23 hours, so 4 days bounds it.
+MAX_PICKUP_SHIFT_DAYS = 4
+
 # The scope and focus month the test data is analysed with.
 TEST_SCOPE = Scope("1996-01", "1996-05")
 TEST_FOCUS_PERIOD = "1996-05"
@@ -33,9 +37,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def trips(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+def trips(spark: SparkSession, sf_dir: str, with_source: bool = False,
+          pickup_scope: Scope | None = None) -> DataFrame:
     """Bronze-shaped trips: canonical names, ``_ref_period`` of the 'file'.
 
+    ``pickup_scope`` keeps at least every trip whose pickup falls inside the
+    scope (and may keep a few before it): the pickup is the order date plus
+    0 to 3 days 23 hours, so a pickup in ``[start, end)`` needs an order date
+    in ``[start - 4 days, end)``.  That implied range is a plain column range
+    on ``orders``, so it reaches the Parquet reader (row groups outside it
+    are skipped), shrinks the join, and at scale lets Spark's runtime filter
+    prune ``lineitem`` before its shuffle.  Callers that go on to keep only
+    in-scope pickups (silver) get exactly the same rows.
+
     The join is an equi-join of two fact tables on the order key.  ``orders``
     grows with ``lineitem`` (about a quarter of its rows), so it has no size
     bound and is never broadcast: the ``merge`` hint asks for a sort-merge join,
@@ -48,7 +62,13 @@ def trips(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFr
     li = table(spark, sf_dir, "lineitem")
     li = li.select(*li_cols, F.col("_metadata.file_path").alias("_source_file")) \
         if with_source else li.select(*li_cols)
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").hint("merge")
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    if pickup_scope is not None:
+        start = F.lit(pickup_scope.start_literal()).cast("timestamp_ntz")
+        end = F.lit(pickup_scope.end_literal()).cast("timestamp_ntz")
+        od = od.filter((F.col("o_orderdate") >= start - F.make_dt_interval(
+            F.lit(MAX_PICKUP_SHIFT_DAYS))) & (F.col("o_orderdate") < end))
+    od = od.hint("merge")
     j = li.join(od, li.l_orderkey == od.o_orderkey)
 
     shift_days = F.when(F.col("l_linenumber") == 6, F.lit(3)).otherwise(F.lit(0))
