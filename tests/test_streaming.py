@@ -44,3 +44,12 @@ def test_incremental_runs(spark, tmp_path):
     assert by_month == {"2023-01": 1, "2023-02": 1, "2023-03": 1}
     c = MD.conservation_tables(spark, t).collect()[0]
     assert (c.bronze, c.silver, c.quarentena, c.diferenca) == (4, 3, 1, 0)
+
+
+def test_default_checkpoint_is_stable_per_tables_under_the_work_root(spark):
+    from tripledger.session import work_root
+
+    a, b = MD.Tables.prefixed(unique_name("s")), MD.Tables.prefixed(unique_name("s"))
+    assert S.default_checkpoint(spark, a) == S.default_checkpoint(spark, a)
+    assert S.default_checkpoint(spark, a) != S.default_checkpoint(spark, b)
+    assert S.default_checkpoint(spark, a).startswith(work_root(spark) + "/")

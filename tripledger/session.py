@@ -36,9 +36,21 @@ EXECUTION_CONF = {
 }
 
 
+# On a cluster, coalesce shuffle partitions to the advisory size instead of
+# maximising the number of tasks (Spark's default favours parallelism, which
+# on a shared cluster means many tiny tasks).  Local runs keep the default so
+# that small inputs still spread over every core.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings above to ``spark`` and return it."""
-    for key, value in {**SEMANTIC_CONF, **EXECUTION_CONF}.items():
+    conf = {**SEMANTIC_CONF, **EXECUTION_CONF}
+    if not spark.sparkContext.master.startswith("local"):
+        conf.update(CLUSTER_CONF)
+    for key, value in conf.items():
         spark.conf.set(key, value)
     return spark
 

@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripledger.config import Scope
 from tripledger.plans import medallion as MD
-from tripledger.session import scratch_path
+from tripledger.session import work_root
 
 log = logging.getLogger(__name__)
 
@@ -89,6 +89,13 @@ def process_batch(spark: SparkSession, files: DataFrame, scope: Scope, focus_per
     return {"periodos": len(found), **counts}
 
 
+def default_checkpoint(spark: SparkSession, tables: MD.Tables) -> str:
+    """The stream's checkpoint folder: one per target bronze table, under the
+    shared work folder, so a restarted stream (new driver, same tables)
+    resumes from the files it already handled."""
+    return f"{work_root(spark)}/tripledger/checkpoints/landing-{tables.bronze}"
+
+
 def start(spark: SparkSession, landing_root: str, scope: Scope, focus_period: str,
           tables: MD.Tables = MD.Tables(), checkpoint: str | None = None,
           available_now: bool = True, processing_time: str = "1 minute",
@@ -96,7 +103,7 @@ def start(spark: SparkSession, landing_root: str, scope: Scope, focus_period: st
     """Start the incremental load.  ``available_now`` handles what is in the
     landing zone and stops (scheduled runs); otherwise it polls every
     ``processing_time``."""
-    checkpoint = checkpoint or scratch_path(spark, "checkpoint-landing")
+    checkpoint = checkpoint or default_checkpoint(spark, tables)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         # Tables are written through the caller's session (the batch runs in a
