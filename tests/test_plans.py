@@ -88,3 +88,9 @@ def test_exact_quantiles_window_is_keyed_by_bucket(spark):
     unkeyed window runs over bucket totals (an aggregate of buckets)."""
     p = plan(P.amount_distribution(R.bronze(spark, SF_SMALL)))
     assert "windowspecdefinition(_b" in p
+
+
+def test_file_lineage_is_read_only_by_queries_that_use_it(spark):
+    assert "_metadata" not in plan(R.panorama(spark, SF_SMALL))
+    assert "row_index" not in plan(R.completeness(spark, SF_SMALL))
+    assert "file_path" in plan(R.period_volume(spark, SF_SMALL))

@@ -152,14 +152,16 @@ def weekday_ticket(spark, sf_dir):
 
 # --- bronze profiling (EDA) ----------------------------------------------------
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TD.bronze(spark, sf_dir)
+def bronze(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+    """Bronze-shaped trips; ``_source_file`` only for the queries that read
+    it (see :func:`tripledger.sources.testdata.bronze`)."""
+    return TD.bronze(spark, sf_dir, with_source=with_source)
 
 
 @register("period_volume")
 def period_volume(spark, sf_dir):
     """A10 (the ingestion time is one value per run and is left out)."""
-    return P.period_volume(bronze(spark, sf_dir)).drop("ingerido_em")
+    return P.period_volume(bronze(spark, sf_dir, with_source=True)).drop("ingerido_em")
 
 
 @register("out_of_month")

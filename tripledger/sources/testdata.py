@@ -122,14 +122,17 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze(spark: SparkSession, sf_dir: str, with_source: bool = True) -> DataFrame:
     """Trips with the bronze audit columns.
 
     ``_source_file`` is the real lineage of each row (the ``lineitem`` file it
     was read from), ``_ingested_at`` is one timestamp per query, and
-    ``_ref_year``/``_ref_month`` split the period.
+    ``_ref_year``/``_ref_month`` split the period.  ``with_source=False``
+    leaves ``_source_file`` out for queries that do not read it: a scan that
+    references ``_metadata.file_path`` materialises the whole metadata struct
+    (row index included) for every row, even when the column is pruned later.
     """
-    return trips(spark, sf_dir, with_source=True).select(
+    return trips(spark, sf_dir, with_source=with_source).select(
         "*",
         F.current_timestamp().alias("_ingested_at"),
         F.substring("_ref_period", 1, 4).cast("int").alias("_ref_year"),
