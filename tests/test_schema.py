@@ -88,3 +88,21 @@ def test_overflowing_cast_fails_instead_of_nulling(spark, tmp_path):
         F.lit(1).alias("passenger_count"), F.lit(1.0).alias("total_amount")).write.parquet(p)
     with pytest.raises(Exception):
         read_landing(spark, p, "2023-04").df.collect()
+
+
+def test_declared_driver_schemas_equal_the_files(spark):
+    """The fixed schemas the adapter reads with are what Spark infers from
+    the driver's files, at every scale."""
+    import pytest
+
+    from pyspark.sql.types import StructType
+    from tripledger.sources.testdata import TABLE_SCHEMAS
+
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        for name, ddl in TABLE_SCHEMAS.items():
+            inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
+            declared = StructType.fromDDL(ddl)
+            got = [(f.name, f.dataType) for f in inferred.fields]
+            want = [(f.name, f.dataType) for f in declared.fields]
+            if got != want:
+                pytest.fail(f"{sf}/{name}: {got} != {want}")

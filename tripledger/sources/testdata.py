@@ -32,9 +32,25 @@ TABLES = (
 )
 
 
+# Schemas of the driver tables the queries read (the same at
+# every scale).  A read with a declared schema skips the footer-reading job
+# that schema inference runs for every ``spark.read.parquet``, and a file
+# whose column types differ fails the read instead of changing the plan.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table as a DataFrame."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table as a DataFrame (declared schema where known)."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def trips(spark: SparkSession, sf_dir: str, with_source: bool = False,
