@@ -428,6 +428,26 @@ def medallion_roundtrip(spark, sf_dir):
     return fixed_digits(spark.table(t.monthly))
 
 
+@register("streaming_refresh")
+def streaming_refresh(spark, sf_dir):
+    """The landing zone consumed by the Structured Streaming file stream
+    in micro-batches of at most 40 files.  The first batch builds bronze,
+    silver, quarantine and gold; each later one reloads its periods and
+    refreshes only the trip months they touch.  Returns gold monthly, which
+    must equal the one built in a single pass."""
+    from tripledger.session import scratch_path
+    from tripledger.streaming import incremental as S
+
+    root = scratch_path(spark, "landing")
+    TD.write_trip_landing(spark, sf_dir, root)
+    t = _tables()
+    q = S.start(spark, root, SCOPE, FOCUS, t, max_files_per_trigger=40)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"landing stream failed: {q.exception()}")
+    return fixed_digits(spark.table(t.monthly))
+
+
 @register("landing_listing")
 def landing_listing(spark, sf_dir):
     """The driver's Parquet files with sizes (no content read)."""

@@ -5,7 +5,8 @@ versions of old ones).  A file stream over the landing folder notices them;
 each micro-batch then
 
 1. replaces the bronze partition of every period that received a file,
-   reading that period's folder in full (one version per period),
+   reading that period's folder in full (one version per period), in one
+   dynamic overwrite (one scan per schema group),
 2. refreshes silver and quarantine for just the trip months those periods
    touch (:func:`tripledger.plans.medallion.refresh_silver`), and
 3. rebuilds the two small gold tables.
@@ -79,8 +80,10 @@ def process_batch(spark: SparkSession, files: DataFrame, scope: Scope, focus_per
     if not found:
         return {"periodos": 0}
     first_load = not MD.W.table_exists(spark, tables.silver)
-    results = MD.build_bronze(spark, found, tables)
-    MD.assert_complete(results)
+    # One scan per schema group and one dynamic overwrite of exactly the
+    # periods seen, however many files the batch holds; any failure fails the
+    # batch, which the stream retries from its checkpoint.
+    MD.load_bronze_all(spark, found, tables)
     if first_load:
         counts = MD.build_silver(spark, scope, tables)
     else:
