@@ -71,20 +71,30 @@ def value_bucket(v: Column) -> Column:
 MAX_BUCKETS = 2 * 2100 * BUCKETS_PER_OCTAVE + 5
 
 
+def value_histogram(df: DataFrame, value: str | Column,
+                    by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """``(*by, _v, _c)``: how many non-NULL rows of each group hold each value.
+
+    A combinable aggregate, reduced map-side.  NULL values keep their group's
+    row (its quantiles are then NULL) with a count of 0."""
+    v = F.col(value) if isinstance(value, str) else value
+    by = list(by)
+    return df.select(*by, v.alias("_v")).groupBy(*by, "_v").agg(F.count("_v").alias("_c"))
+
+
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[tuple[str, float]],
                     by: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """One row per group (one row overall without ``by``) with a column per
     ``(name, q)`` of ``probs``; NULL when the group has no non-NULL value."""
-    v = F.col(value) if isinstance(value, str) else value
+    return quantiles_from_histogram(value_histogram(df, value, by), probs, by)
+
+
+def quantiles_from_histogram(hist: DataFrame, probs: list[tuple[str, float]],
+                             by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """:func:`exact_quantiles` over a histogram ``(*by, _v, _c)`` with one row
+    per group and value (as :func:`value_histogram` builds)."""
     by = list(by)
-    # NULL values keep their group's row (its quantiles are then NULL) but
-    # count for nothing.
-    hist = (
-        df.select(*by, v.alias("_v"))
-        .groupBy(*by, "_v")
-        .agg(F.count("_v").alias("_c"))
-        .withColumn("_b", value_bucket(F.col("_v")))
-    )
+    hist = hist.select(*by, "_v", "_c", value_bucket(F.col("_v")).alias("_b"))
     upto_here = (Window.unboundedPreceding, Window.currentRow)
     in_bucket = Window.partitionBy(*by, "_b").orderBy(F.col("_v").asc_nulls_first()) \
         .rowsBetween(*upto_here)
