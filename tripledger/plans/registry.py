@@ -152,10 +152,12 @@ def weekday_ticket(spark, sf_dir):
 
 # --- bronze profiling (EDA) ----------------------------------------------------
 
-def bronze(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+def bronze(spark: SparkSession, sf_dir: str, with_source: bool = False,
+           within: Scope | None = None) -> DataFrame:
     """Bronze-shaped trips; ``_source_file`` only for the queries that read
-    it (see :func:`tripledger.sources.testdata.bronze`)."""
-    return TD.bronze(spark, sf_dir, with_source=with_source)
+    it (see :func:`tripledger.sources.testdata.bronze`).  Queries that keep
+    only pickups ``within`` a range read only the orders that can yield one."""
+    return TD.bronze(spark, sf_dir, with_source=with_source, pickup_scope=within)
 
 
 @register("period_volume")
@@ -222,7 +224,7 @@ def passenger_histogram(spark, sf_dir):
 @register("null_treatment")
 def null_treatment(spark, sf_dir):
     """A20 over the focus month."""
-    return P.null_treatment(bronze(spark, sf_dir), FOCUS)
+    return P.null_treatment(bronze(spark, sf_dir, within=Scope(FOCUS, FOCUS)), FOCUS)
 
 
 @register("duplicate_summary")
@@ -252,7 +254,7 @@ def vendor_domain(spark, sf_dir):
 @register("month_with_footer")
 def month_with_footer(spark, sf_dir):
     """A24 + U1."""
-    return P.month_with_footer(bronze(spark, sf_dir), SCOPE)
+    return P.month_with_footer(bronze(spark, sf_dir, within=SCOPE), SCOPE)
 
 
 # --- silver / quarantine validation -------------------------------------------

@@ -138,7 +138,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 
 
-def bronze(spark: SparkSession, sf_dir: str, with_source: bool = True) -> DataFrame:
+def bronze(spark: SparkSession, sf_dir: str, with_source: bool = True,
+           pickup_scope: Scope | None = None) -> DataFrame:
     """Trips with the bronze audit columns.
 
     ``_source_file`` is the real lineage of each row (the ``lineitem`` file it
@@ -147,8 +148,10 @@ def bronze(spark: SparkSession, sf_dir: str, with_source: bool = True) -> DataFr
     leaves ``_source_file`` out for queries that do not read it: a scan that
     references ``_metadata.file_path`` materialises the whole metadata struct
     (row index included) for every row, even when the column is pruned later.
+    ``pickup_scope`` is passed to :func:`trips`, for queries that keep only
+    pickups within it.
     """
-    return trips(spark, sf_dir, with_source=with_source).select(
+    return trips(spark, sf_dir, with_source=with_source, pickup_scope=pickup_scope).select(
         "*",
         F.current_timestamp().alias("_ingested_at"),
         F.substring("_ref_period", 1, 4).cast("int").alias("_ref_year"),
