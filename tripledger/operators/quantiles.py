@@ -90,15 +90,22 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[tuple[str, f
 
 
 def quantiles_from_histogram(hist: DataFrame, probs: list[tuple[str, float]],
-                             by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+                             by: list[str] | tuple[str, ...] = (),
+                             extra: list[Column] | None = None) -> DataFrame:
     """:func:`exact_quantiles` over a histogram ``(*by, _v, _c)`` with one row
-    per group and value (as :func:`value_histogram` builds)."""
+    per group and value (as :func:`value_histogram` builds).
+
+    Other columns of ``hist`` are carried along, and ``extra`` aggregates over
+    the histogram rows (one per group and value) are computed in the same
+    final aggregation as the quantiles, so per-group totals need no join."""
     by = list(by)
-    hist = hist.select(*by, "_v", "_c", value_bucket(F.col("_v")).alias("_b"))
+    carried = [c for c in hist.columns if c not in (*by, "_v", "_c")]
+    hist = hist.select(*by, "_v", "_c", *carried, value_bucket(F.col("_v")).alias("_b"))
     upto_here = (Window.unboundedPreceding, Window.currentRow)
     in_bucket = Window.partitionBy(*by, "_b").orderBy(F.col("_v").asc_nulls_first()) \
         .rowsBetween(*upto_here)
-    ranked = hist.select(*by, "_b", "_v", F.sum("_c").over(in_bucket).alias("_cin"))
+    ranked = hist.select(*by, "_b", "_v", *carried,
+                         F.sum("_c").over(in_bucket).alias("_cin"))
 
     per_group = Window.partitionBy(*by)
     offsets = (
@@ -122,15 +129,16 @@ def quantiles_from_histogram(hist: DataFrame, probs: list[tuple[str, float]],
     cond = reduce(lambda a, b: a & b,
                   [ranked[c].eqNullSafe(offsets[f"_o_{c}"]) for c in by],
                   ranked["_b"] == offsets["_o__b"])
+    # Inner join: every (group, bucket) of ``ranked`` has its offset row.
     cum = ranked.join(offsets, cond).select(
-        *by, "_v", (F.col("_off") + F.col("_cin")).alias("_cum"), "_n")
+        *by, "_v", *carried, (F.col("_off") + F.col("_cin")).alias("_cum"), "_n")
     picks = [
         F.min(F.when(F.col("_v").isNotNull()
                      & (F.col("_cum") >= F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("_n")))),
                      F.col("_v"))).alias(name)
         for name, q in probs
     ]
-    return cum.groupBy(*by).agg(*picks)
+    return cum.groupBy(*by).agg(*picks, *(extra or []))
 
 
 def approx_quantiles(df: DataFrame, value: str | Column, probs: list[tuple[str, float]],
