@@ -65,3 +65,44 @@ def test_median_method_is_checked(spark):
 
     with pytest.raises(ValueError):
         M.monthly_revenue(_silver(spark), median="mean")
+
+
+def test_histogram_profiles_equal_direct_aggregates(spark):
+    """A15 and A17 read counts, mean and extremes off their histograms; they
+    must equal the direct aggregates, with NULL durations, NaN amounts and a
+    hot value, and the quantiles must equal brute force."""
+    import datetime as dt
+
+    from tripledger.operators import profile as P
+
+    rnd = random.Random(9)
+    base = dt.datetime(2023, 3, 1)
+    rows = []
+    for i in range(3000):
+        p = None if i % 50 == 0 else base + dt.timedelta(seconds=rnd.randint(0, 86400 * 20))
+        d = None if p is None or i % 77 == 0 else p + dt.timedelta(
+            seconds=rnd.choice([0, -30, 600, 600, 600, 90000, rnd.randint(1, 5000)]))
+        a = rnd.choice([None, float("nan"), 0.0, -5.5, 19.99, 19.99] + [round(rnd.uniform(-20, 400), 2)] * 5)
+        rows.append((p, d, a))
+    df = spark.createDataFrame(
+        [(1, 1) + r for r in rows],
+        "VendorID int, passenger_count int, tpep_pickup_datetime timestamp_ntz, "
+        "tpep_dropoff_datetime timestamp_ntz, total_amount double")
+    g = P.global_profile(df).first()
+    dur = P.duration_profile(df).first()
+    for c in ("total", "sem_duracao", "duracao_negativa", "duracao_zero", "acima_de_24h",
+              "media_minutos", "maximo_horas"):
+        assert dur[c] == g[c], c
+    secs = sorted(int((d - p).total_seconds()) for p, d, _ in rows if p and d)
+    assert dur.mediana_minutos == round(secs[math.ceil(len(secs) / 2) - 1] / 60, 1)
+
+    amt = P.amount_distribution(df).first()
+    for c in ("minimo", "maximo", "media"):
+        a, b = amt[c], g[c]
+        assert (math.isnan(a) and math.isnan(b)) or a == b, (c, a, b)
+    vals = sorted((a for _, _, a in rows if a is not None),
+                  key=lambda x: (1, 0.0) if math.isnan(x) else (0, x))
+    for name, q in P.AMOUNT_QUANTILES:
+        want = vals[max(1, math.ceil(q * len(vals))) - 1]
+        got = amt[name]
+        assert (math.isnan(got) and math.isnan(want)) or got == round(want, 2), name

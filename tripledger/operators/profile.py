@@ -1,9 +1,11 @@
 """Profiling queries over bronze (file-level) and silver/quarantine tables.
 
-The single-row profiles (A15 to A18, A22) are projections of one fused
+The single-row profiles A16, A18 and A22 are projections of one fused
 aggregate, :func:`global_profile`.  Catalyst prunes the aggregate expressions
 a projection does not use, so a single profile costs only its own work while
-asking for all of them costs one scan and one aggregate.  Distinct counts
+asking for all of them costs one scan and one aggregate.  A15 and A17 need
+exact quantiles, so they count rows per value first and read every column
+off that histogram in one final aggregate.  Distinct counts
 are done in two phases (group by the values first), so the ``Expand`` that
 Spark uses for several distinct counts runs over the aggregated pairs, never
 over the trips.
@@ -23,7 +25,7 @@ from tripledger.config import (
     TripSpec,
 )
 from tripledger.functions import trips as T
-from tripledger.operators.quantiles import exact_quantiles
+from tripledger.operators.quantiles import quantiles_from_histogram, value_histogram
 
 # Quantiles of the amount distribution (A17), in output order.
 AMOUNT_QUANTILES = (("p01", 0.01), ("p25", 0.25), ("mediana", 0.5), ("p75", 0.75),
@@ -119,7 +121,8 @@ def month_sources(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame
 
 def global_profile(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
     """One row with the single-row bronze profiles (A15 to A18, A22) except
-    their quantiles, which :func:`_with_quantiles` adds."""
+    their quantiles.  A16, A18 and A22 are projections of it; A15 and A17,
+    which need exact quantiles, read the same counts off their histogram."""
     secs = T.elapsed_seconds(spec)
     amount = F.col(spec.amount)
     aggs = [
@@ -168,26 +171,37 @@ def _required_names(spec: TripSpec) -> list[str]:
     return [by_default[c] for c in order]
 
 
-def _with_quantiles(row: DataFrame, quantiles: DataFrame, order: list[str]) -> DataFrame:
-    """Put two one-row frames side by side without a join: union them (each
-    column present on one side only) and take the non-NULL value of each."""
-    both = row.unionByName(quantiles, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns]).select(*order)
-
-
 def duration_profile(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
     """Duration counts by sign, over 24 h, mean/median minutes, max hours.
 
-    The median is exact (see :mod:`tripledger.operators.quantiles`)."""
-    base = global_profile(bronze, spec).select(
-        "total", "sem_duracao", "duracao_negativa", "duracao_zero", "acima_de_24h",
-        "media_minutos", "maximo_horas",
-    )
-    med = exact_quantiles(bronze, T.elapsed_seconds(spec), [("_med", 0.5)]).select(
-        F.round(F.col("_med") / 60, 1).alias("mediana_minutos"))
-    return _with_quantiles(base, med, [
+    One pipeline: rows are counted per duration (map-side), and every column,
+    the exact median included (see :mod:`tripledger.operators.quantiles`), is
+    read off that histogram in one final aggregate.  The mean sums doubles,
+    as ``avg`` does."""
+    secs = T.elapsed_seconds(spec)
+    hist = bronze.select(secs.alias("_v")).groupBy("_v").agg(
+        F.count("_v").alias("_c"), F.count(F.lit(1)).alias("_rows"))
+    v, rows = F.col("_v"), F.col("_rows")
+
+    def rows_where(cond):
+        return F.sum(F.when(cond, rows).otherwise(F.lit(0))).cast("long")
+
+    known = F.when(v.isNotNull(), rows)
+    extra = [
+        F.sum(rows).cast("long").alias("total"),
+        rows_where(v.isNull()).alias("sem_duracao"),
+        rows_where(v < 0).alias("duracao_negativa"),
+        rows_where(v == 0).alias("duracao_zero"),
+        rows_where(v > 86400).alias("acima_de_24h"),
+        F.round(F.try_divide(F.sum(v.cast("double") * known), F.sum(known).cast("double"))
+                / 60, 1).alias("media_minutos"),
+        F.round(F.max(v) / 3600, 1).alias("maximo_horas"),
+    ]
+    out = quantiles_from_histogram(hist, [("_med", 0.5)], extra=extra)
+    return out.select(
         "total", "sem_duracao", "duracao_negativa", "duracao_zero", "acima_de_24h",
-        "media_minutos", "mediana_minutos", "maximo_horas"])
+        "media_minutos", F.round(F.col("_med") / 60, 1).alias("mediana_minutos"),
+        "maximo_horas")
 
 
 def amount_nonpositive(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
@@ -198,13 +212,23 @@ def amount_nonpositive(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> Data
 
 
 def amount_distribution(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
-    """Min, p01, p25, median, mean, p75, p99, p99.99, max (2 dp); the
-    quantiles are exact (see :mod:`tripledger.operators.quantiles`)."""
-    base = global_profile(bronze, spec).select("minimo", "media", "maximo")
-    q = exact_quantiles(bronze, spec.amount, list(AMOUNT_QUANTILES))
-    q = q.select(*[F.round(n, 2).alias(n) for n, _ in AMOUNT_QUANTILES])
-    return _with_quantiles(base, q, [
-        "minimo", "p01", "p25", "mediana", "media", "p75", "p99", "p9999", "maximo"])
+    """Min, p01, p25, median, mean, p75, p99, p99.99, max (2 dp).
+
+    One pipeline: rows are counted per amount (map-side) and the exact
+    quantiles (see :mod:`tripledger.operators.quantiles`), the extremes and
+    the mean are read off that histogram in one final aggregate."""
+    hist = value_histogram(bronze, spec.amount).withColumn("_w", F.col("_c"))
+    v, w = F.col("_v"), F.col("_w")
+    extra = [
+        F.round(F.min(v), 2).alias("minimo"),
+        F.round(F.try_divide(F.sum(v * w), F.sum(F.when(v.isNotNull(), w)).cast("double")), 2)
+        .alias("media"),
+        F.round(F.max(v), 2).alias("maximo"),
+    ]
+    q = quantiles_from_histogram(hist, list(AMOUNT_QUANTILES), extra=extra)
+    return q.select(
+        "minimo", *[F.round(n, 2).alias(n) for n, _ in AMOUNT_QUANTILES[:3]], "media",
+        *[F.round(n, 2).alias(n) for n, _ in AMOUNT_QUANTILES[3:]], "maximo")
 
 
 def outlier_weight(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
