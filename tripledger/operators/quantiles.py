@@ -108,8 +108,11 @@ def quantiles_from_histogram(hist: DataFrame, probs: list[tuple[str, float]],
                          F.sum("_c").over(in_bucket).alias("_cin"))
 
     per_group = Window.partitionBy(*by)
+    # Bucket totals from the running counts (the largest is the total): the
+    # window output is already partitioned by (group, bucket), so this needs
+    # no exchange of the histogram.
     offsets = (
-        hist.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
+        ranked.groupBy(*by, "_b").agg(F.max("_cin").alias("_bc"))
         .select(
             *by, "_b",
             (F.sum("_bc").over(per_group.orderBy("_b").rowsBetween(*upto_here))
