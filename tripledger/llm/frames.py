@@ -64,6 +64,13 @@ def fold(col: str | Column, modulus: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus)).cast("int")
 
 
+def key_columns() -> list[Column]:
+    """``did`` and ``rid`` of a row of a documents table (see ``keyed``)."""
+    did = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    return [did.alias("did"),
+            F.xxhash64(did, F.coalesce(F.col("text"), F.lit(""))).alias("rid")]
+
+
 def keyed(documents: DataFrame) -> DataFrame:
     """(did, rid, text) of every row of a documents table.
 
@@ -72,10 +79,7 @@ def keyed(documents: DataFrame) -> DataFrame:
     equal results), ``text`` never NULL.  No other column is carried, so extra
     columns cannot clash with the operators' own.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    did = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    return documents.select(did.alias("did"), F.xxhash64(did, text).alias("rid"),
-                            text.alias("text"))
+    return documents.select(*key_columns(), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def public_id(col: str = "did") -> Column:

@@ -43,6 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripledger.llm import frames
 from tripledger.llm import textbytes as tb
@@ -274,6 +275,15 @@ def _sort_bucket(records: DataFrame, length: int, lead: int) -> DataFrame:
     return records.mapInArrow(run, "did long, rid long, start long, stop long")
 
 
+def _covered(size: int, spans: pa.ListScalar) -> np.ndarray:
+    """Which of ``size`` bytes lie in one of the (start, stop) spans."""
+    begin, end = (np.asarray(x) for x in spans.values.flatten())
+    step = np.zeros(size + 1, np.int64)
+    np.add.at(step, begin, 1)
+    np.add.at(step, end, -1)
+    return np.cumsum(step)[:-1] > 0
+
+
 def _cut_out(joined: DataFrame) -> DataFrame:
     """Kept bytes, removed bytes and spans of documents with their (start, stop) list."""
     def run(batches):
@@ -282,12 +292,7 @@ def _cut_out(joined: DataFrame) -> DataFrame:
             for i, j, data, offsets in tb.chunks(batch.column(2)):
                 for r in range(j - i):
                     own = data[offsets[r]:offsets[r + 1]]
-                    cuts = lists[i + r].values.flatten()
-                    begin, end = np.asarray(cuts[0]), np.asarray(cuts[1])
-                    step = np.zeros(len(own) + 1, np.int64)
-                    np.add.at(step, begin, 1)
-                    np.add.at(step, end, -1)
-                    gone = np.cumsum(step)[:-1] > 0
+                    gone = _covered(len(own), lists[i + r])
                     kept.append(own[~gone].tobytes())
                     removed.append(int(gone.sum()))
                     spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
@@ -340,6 +345,40 @@ def dedup(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         F.coalesce("sha", "whole_sha256").alias("kept_sha256"))
 
 
+def cut_texts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents as given, their texts without what starts earlier too.
+
+    All columns stay; ``n_chars``, where there is one, follows the new text.  A
+    character of which a cut leaves some bytes only goes with it.  Texts without
+    repeats (NULL too) stay as they are.
+    """
+    _, spans = repeated_spans(documents, length)
+    others = [c for c in documents.columns if c != "text"]
+    rows = documents.select(*frames.key_columns(), F.col("text"), F.struct(*others).alias("other"))
+    joined = rows.join(spans, ["did", "rid"], "left").select("text", "spans", "other")
+
+    def run(batches):
+        for batch in batches:
+            texts, lists = batch.column(0), batch.column(1)
+            out = texts.to_pylist()
+            for r in np.flatnonzero(np.asarray(lists.is_valid())).tolist():
+                gone = _covered(len(out[r].encode("utf-8")), lists[r])
+                kept = np.frombuffer(out[r].encode("utf-8"), np.uint8)[~gone]
+                out[r] = kept.tobytes().decode("utf-8", "ignore")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out, pa.string()), lists.is_valid(), batch.column(2)],
+                names=["text", "changed", "other"])
+
+    schema = T.StructType([joined.schema["text"], T.StructField("changed", T.BooleanType()),
+                           joined.schema["other"]])
+    cut = joined.mapInArrow(run, schema)
+    columns = {c: F.col(f"other.`{c}`") for c in others} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("changed"), F.length("text").cast(
+            documents.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return cut.select(*[columns[c].alias(c) for c in documents.columns])
+
+
 def op10(spark, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes that start earlier too, removed from ``documents``."""
     return dedup(frames.table(spark, sf_dir, "documents"), LENGTH)

@@ -118,7 +118,8 @@ def render(messages: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
 def read_back(formatted: Column) -> Column:
     """The turns of a rendered text: array of (role, text, start of the text)."""
     # An unescaped control string never follows a backslash.
-    turns = F.slice(F.split(formatted, r"(?<!\\)<\|turn\|>"), 2, 2**31 - 1)
+    marked = F.split(formatted, r"(?<!\\)<\|turn\|>")
+    turns = F.slice(marked, F.lit(2), F.size(marked))
     tail = len(f"\n{END}\n")
 
     def parse(turn: Column) -> Column:

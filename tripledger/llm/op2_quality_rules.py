@@ -82,13 +82,18 @@ def _same(x: Column, i: Column, step: int) -> Column:
     return F.coalesce(alike, F.lit(False))
 
 
-def ledger(documents: DataFrame) -> DataFrame:
-    """doc_id, measurements and ``fail_bits`` of every row."""
+def ledger(documents: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, measurements and ``fail_bits`` of every row.
+
+    With ``carry`` the row as given comes along as the struct ``carried``.
+    """
     zero = F.lit(0).cast("long")
+    whole = [F.struct(*documents.columns).alias("carried")] if carry else []
+    carried = ["carried"] if carry else []
     split = (
-        documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *whole)
         .select(
-            "doc_id", "text",
+            "doc_id", "text", *carried,
             F.filter(F.split("text", SPACES), lambda w: w != "").alias("words"),
             F.filter(F.split("text", "\n"), lambda line: line.rlike(A_WORD)).alias("lines"))
     )
@@ -105,13 +110,15 @@ def ledger(documents: DataFrame) -> DataFrame:
                 .bitwiseAND(F.bitwise_not(F.col("low"))).bitwiseOR(i.cast("long")))))
             .otherwise(F.array().cast("array<long>")))
     )
-    measured = packed.select(
-        "doc_id", "n_words",
+    # The measures leave through a generator, so that a later filter on them is
+    # not written out over the arrays below and evaluated once per use.
+    measured = packed.select("doc_id", *carried, F.inline(F.array(F.struct(
+        "n_words",
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _repeated_words().alias("n_repeat_words"))
+        _repeated_words().alias("n_repeat_words")))))
     bits = [F.when(F.expr(test), F.lit(BIT[name]).cast("long")).otherwise(zero)
             for name, test in RULES.items()]
     total = bits[0]
