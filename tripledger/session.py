@@ -25,8 +25,8 @@ SEMANTIC_CONF = {
     "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
 }
 
-# Execution settings: adaptive re-planning coalesces tiny shuffles (the gold
-# tables have 5 and 24 rows) and splits skewed partitions.
+# Execution settings of local sessions: adaptive re-planning coalesces tiny
+# shuffles (the gold tables have 5 and 24 rows) and splits skewed partitions.
 EXECUTION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -36,21 +36,13 @@ EXECUTION_CONF = {
 }
 
 
-# On a cluster, coalesce shuffle partitions to the advisory size instead of
-# maximising the number of tasks (Spark's default favours parallelism, which
-# on a shared cluster means many tiny tasks).  Local runs keep the default so
-# that small inputs still spread over every core.
-CLUSTER_CONF = {
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-}
-
-
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings above to ``spark`` and return it."""
-    conf = {**SEMANTIC_CONF, **EXECUTION_CONF}
-    if not spark.sparkContext.master.startswith("local"):
-        conf.update(CLUSTER_CONF)
-    for key, value in conf.items():
+    """Apply the settings that change results to ``spark`` and return it.
+
+    Partition sizes and adaptive execution stay as the session has them: they
+    are the cluster's to choose.
+    """
+    for key, value in SEMANTIC_CONF.items():
         spark.conf.set(key, value)
     return spark
 
@@ -76,9 +68,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        # Local folders only: skip the .crc side files of the checksummed
-        # local filesystem, which double the cost of every small file written.
-        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TRIPLEDGER_DRIVER_MEMORY",
                                                       _local_heap()))
