@@ -12,9 +12,10 @@ same offset, so it is enough to compare windows of equal anchors.
    leads that occur in several documents (``repeats``), a scan those that occur
    twice in one.
 2. ``_records``: documents with repeated leads give one record per anchor: the
-   bytes that its run of windows covers.  Records of equal bytes in one Arrow
-   batch collapse onto the earliest, the others are settled there and then, so
-   a passage that a third of all documents share costs one record per batch.
+   bytes that its run of windows covers.  Among the records a task holds at
+   once (``HELD``), equal ones collapse onto the earliest and the others are
+   settled there and then, so a passage that a third of all documents share
+   costs one record for each such portion.
 3. Spark range-partitions the records by their leads with sampled splitters.
    Equal leads always fall into one range, so no match crosses a boundary:
    suffixes to either side differ within their leading bytes.
@@ -53,6 +54,7 @@ from tripledger.llm.repeats import long_lists, repeated_keys, split_keys
 LENGTH = 100
 LEAD = 48
 WINDOWS = 400_000  # windows that a task sorts at once
+HELD = 8 << 20  # bytes of records that a task holds to collapse equal ones
 
 RECORD_SCHEMA = "did long, rid long, start long, n int, back int, text binary"
 
@@ -127,47 +129,51 @@ def _records(joined: DataFrame, length: int, lead: int) -> DataFrame:
 
     ``text`` holds the ``n`` windows that start at byte ``start`` of the
     document; the lead is at ``back`` in it.  A record without ``text`` is
-    settled: an equal one starts earlier in the same batch.
+    settled: an equal one starts earlier in the same portion.
     """
+    def settle(dids, rids, found):
+        """One Arrow batch of the records found, equal ones collapsed."""
+        row, start, n, back = (np.concatenate(x) for x in list(zip(*found))[:4])
+        texts = [t for f in found for t in f[4]]
+        did, rid = dids[row], rids[row]
+        earliest: dict[tuple, tuple] = {}
+        settled = np.zeros(len(texts), bool)
+        for k in np.lexsort((start, rid, did)).tolist():
+            me = (did[k], rid[k], start[k])
+            before = earliest.setdefault((texts[k], back[k]), me)
+            settled[k] = before != me
+        shown = [None if s else t for s, t in zip(settled.tolist(), texts)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(did), pa.array(rid), pa.array(start, pa.int64()),
+             pa.array(n.astype(np.int32)), pa.array(back.astype(np.int32)),
+             pa.array(shown, pa.binary())],
+            names=["did", "rid", "start", "n", "back", "text"])
+
     def run(batches):
         for batch in batches:
             dids, rids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            lists = batch.column(3)
-            rows, starts, counts, backs, texts = [], [], [], [], []
+            lists, found, held = batch.column(3), [], 0
             for i, j, data, offsets in tb.chunks(batch.column(2)):
                 a = _Anchors(data, offsets, length, lead)
                 cut = a.by_row(j - i)
-                raw = data.tobytes()
+                hit = np.zeros(len(a.key), bool)
                 for r in range(j - i):
                     part = slice(cut[r], cut[r + 1])
-                    key = a.key[part]
-                    keys = lists[i + r].as_py() or []
-                    hit = np.isin(key, np.asarray(keys, np.int64).view(np.uint64)) | _twice(key)
-                    spot = np.flatnonzero(hit) + cut[r]
-                    first, n = a.first[spot], a.n[spot]
-                    rows.extend([i + r] * len(spot))
-                    starts.append(first - offsets[r])
-                    counts.append(n)
-                    backs.append(a.anchor[spot] - first)
-                    texts.extend([raw[s:e] for s, e in zip(
-                        first.tolist(), (first + n - 1 + length).tolist())])
-            if not texts:
-                continue
-            row = np.array(rows)
-            start, n, back = map(np.concatenate, (starts, counts, backs))
-            did, rid = dids[row], rids[row]
-            earliest: dict[tuple, tuple] = {}
-            settled = np.zeros(len(texts), bool)
-            for k in np.lexsort((start, rid, did)).tolist():
-                me = (did[k], rid[k], start[k])
-                before = earliest.setdefault((texts[k], back[k]), me)
-                settled[k] = before != me
-            shown = [None if s else t for s, t in zip(settled.tolist(), texts)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(did), pa.array(rid), pa.array(start, pa.int64()),
-                 pa.array(n.astype(np.int32)), pa.array(back.astype(np.int32)),
-                 pa.array(shown, pa.binary())],
-                names=["did", "rid", "start", "n", "back", "text"])
+                    keys = np.asarray(lists[i + r].as_py() or [], np.int64).view(np.uint64)
+                    hit[part] = np.isin(a.key[part], keys) | _twice(a.key[part])
+                spot = np.flatnonzero(hit)
+                if not len(spot):
+                    continue
+                first, n, row, raw = a.first[spot], a.n[spot], a.row[spot], data.tobytes()
+                texts = [raw[s:e] for s, e in zip(
+                    first.tolist(), (first + n - 1 + length).tolist())]
+                found.append((row + i, first - offsets[row], n, a.anchor[spot] - first, texts))
+                held += int((n + length).sum())
+                if held > HELD:
+                    yield settle(dids, rids, found)
+                    found, held = [], 0
+            if found:
+                yield settle(dids, rids, found)
 
     return joined.mapInArrow(run, RECORD_SCHEMA)
 
