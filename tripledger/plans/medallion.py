@@ -103,15 +103,16 @@ def build_bronze(spark: SparkSession, paths: dict[str, str],
 
 def load_bronze_all(spark: SparkSession, paths: dict[str, str],
                     tables: Tables = Tables()) -> int:
-    """W4 in one pass: every period, read per schema group, written with one
-    dynamic-partition overwrite (only the periods present are replaced).
+    """W4 in one pass: every period, read per schema group, written as one
+    staged replacement of exactly the given periods: one that was republished
+    without rows ends up empty, not stale.
 
     The per-period loop of :func:`build_bronze` runs one job per period; this
     runs one scan per schema group and a single write, which is what a
     thousand-file backfill needs.  Returns the rows written."""
     W.ensure_namespaces(spark, tables.databases())
     df = read_landing_grouped(spark, paths)
-    rows = W.overwrite_partitions(spark, df, tables.bronze, BRONZE_PARTITION)
+    rows = W.replace_partitions(spark, df, tables.bronze, BRONZE_PARTITION, list(paths))
     W.record_load(spark, tables.history, tables.bronze, None, rows)
     W.comment_table(spark, tables.bronze, TABLE_COMMENTS["bronze"])
     return rows
@@ -158,14 +159,15 @@ def affected_months(spark: SparkSession, periods: list[str], tables: Tables = Ta
                     spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
     """Trip months whose silver rows can change when bronze ``periods`` were
     reloaded: months of the new bronze rows and of the old silver rows of
-    those periods.  A small distinct set (one row per month)."""
+    those periods.  A small distinct set (one row per month; NULL stands for
+    trips without a pickup, which are valid and have a partition too)."""
     new = (spark.table(tables.bronze)
            .filter(F.col(BRONZE_PARTITION).isin(periods))
            .select(T.year_month(spec.pickup).alias(SILVER_PARTITION)))
     old = (spark.table(tables.silver)
            .filter(F.col(spec.ref_period).isin(periods))
            .select(SILVER_PARTITION))
-    return new.unionByName(old).filter(F.col(SILVER_PARTITION).isNotNull()).distinct()
+    return new.unionByName(old).distinct()
 
 
 def refresh_silver(spark: SparkSession, periods: list[str], scope: Scope,
@@ -182,8 +184,10 @@ def refresh_silver(spark: SparkSession, periods: list[str], scope: Scope,
     ends up empty, not stale, and a failure leaves the tables as they were.
     The affected months are a small distinct set (one row per month).
     """
-    months = sorted(r[0] for r in affected_months(spark, periods, tables, spec).collect())
-    months = [m for m in months if scope.first <= m <= scope.last]  # silver holds no others
+    month = F.col(SILVER_PARTITION)
+    touched = affected_months(spark, periods, tables, spec).filter(
+        month.isNull() | month.between(scope.first, scope.last))  # silver holds no others
+    months = [r[0] for r in touched.collect()]
     bronze = spark.table(tables.bronze)
     part = Q.classify(bronze.filter(F.col(BRONZE_PARTITION).isin(periods)), scope, spec)
     n_q = W.replace_partitions(spark, Q.stamp_processed(Q.discarded_rows(part)),
@@ -192,7 +196,8 @@ def refresh_silver(spark: SparkSession, periods: list[str], scope: Scope,
     if months:
         in_months = F.lit(False)
         for m in months:
-            in_months = in_months | T.in_month(m, spec.pickup)
+            in_months = in_months | (F.col(spec.pickup).isNull() if m is None
+                                     else T.in_month(m, spec.pickup))
         rows = Q.classify(bronze.filter(in_months), scope, spec)
         valid = Q.stamp_processed(Q.valid_rows(rows))
         n_s = W.replace_partitions(spark, valid, tables.silver, SILVER_PARTITION, months)
@@ -205,8 +210,3 @@ def conservation_tables(spark: SparkSession, tables: Tables = Tables()) -> DataF
 
     return conservation(spark.table(tables.bronze), spark.table(tables.silver),
                         spark.table(tables.quarantine))
-
-
-def quarantine_reasons(spark: SparkSession, tables: Tables = Tables()) -> DataFrame:
-    """Reasons present in the quarantine (a convenience for checks)."""
-    return spark.table(tables.quarantine).groupBy(REASON_COLUMN).count()

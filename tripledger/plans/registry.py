@@ -54,10 +54,11 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.classify(TD.trips(spark, sf_dir), SCOPE)
 
 
-def silver(spark: SparkSession, sf_dir: str, within: Scope = SCOPE) -> DataFrame:
-    """Valid trips.  Only trips that can have a pickup ``within`` the scope
-    (or the narrower range a query needs) are read and joined; the valid
-    rows of that range are exactly those of the full classification."""
+def silver(spark: SparkSession, sf_dir: str, within: Scope | None = None) -> DataFrame:
+    """Valid trips.  Queries that go on to keep named months only pass them as
+    ``within``, and trips that cannot have a pickup there are not read.  The
+    full set is read whole: trips without a pickup are valid too, and no order
+    date range holds them."""
     trips = TD.trips(spark, sf_dir, pickup_scope=within)
     return Q.valid_rows(Q.classify(trips, SCOPE))
 

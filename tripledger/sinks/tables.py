@@ -37,7 +37,9 @@ def _check_ident(name: str) -> str:
     return name
 
 
-def _quote_literal(value: str) -> str:
+def _quote_literal(value: str | None) -> str:
+    if value is None:
+        return "NULL"
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -68,34 +70,40 @@ def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
 
 
 def replace_partitions(spark: SparkSession, df: DataFrame, table: str,
-                       partition_col: str, values: list[str]) -> int:
+                       partition_col: str, values: list[str | None]) -> int:
     """W1 for a known set of partitions: afterwards, partition ``v`` of
     ``table`` holds exactly the rows of ``df`` with ``partition_col == v``,
     for every ``v`` in ``values`` (possibly none), and nothing else changed.
+    None stands for the partition of the rows without a value.
 
     One staged write: a row outside ``values`` fails the job (checked in the
-    same scan), the new files are swapped in at commit so a failed job
-    changes nothing, and the values that received no rows (seen through an
-    observation on the write, not a second pass) are emptied afterwards.
+    same scan), the new files are swapped in at commit so a job that fails up
+    to then changes nothing.  Values that received no rows (seen through an
+    observation on the write, not a second pass) are emptied afterwards, one
+    statement each: a failure between the two steps leaves those as they were.
     Returns the rows written."""
     _check_ident(table)
     _check_ident(partition_col)
-    values = sorted(set(values))
+    values = sorted(set(values), key=lambda v: (v is None, v or ""))
+    named = [v for v in values if v is not None]
     other = [c for c in df.columns if c != partition_col]
     if not other:
         raise ValueError("nothing to write besides the partition column")
     pcol = F.col(partition_col)
     guarded = df.select(
         *other,
-        F.when(pcol.isin(*values), pcol)
+        F.when(pcol.isin(*named) | (F.lit(None in values) & pcol.isNull()), pcol)
         .otherwise(F.raise_error(F.concat(F.lit(f"row outside partitions {partition_col} in "
                                                 f"{values}: "), F.coalesce(pcol, F.lit("NULL")))))
         .alias(partition_col),
     )
     seen_obs = Observation(f"seen_{table}".replace(".", "_"))
-    guarded = guarded.observe(seen_obs, F.collect_set(partition_col).alias("seen"))
+    guarded = guarded.observe(seen_obs, F.collect_set(partition_col).alias("seen"),
+                              F.max(pcol.isNull()).alias("seen_null"))
     rows = overwrite_partitions(spark, guarded, table, partition_col)
     seen = set(seen_obs.get.get("seen") or [])
+    if seen_obs.get.get("seen_null"):
+        seen.add(None)
     if table_exists(spark, table):
         cols = [c for c in spark.table(table).columns if c != partition_col]
         for value in values:

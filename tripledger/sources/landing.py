@@ -40,11 +40,6 @@ class LandingRead:
     unexpected: list[str] = field(default_factory=list)
 
 
-def landing_path(root: str, period: str, dataset: str = "yellow_tripdata") -> str:
-    """Where the file of ``period`` lives: ``ref_year=YYYY/ref_month=MM``."""
-    year, month = period.split("-")
-    return f"{root.rstrip('/')}/{dataset}/ref_year={year}/ref_month={month}/{dataset}_{period}.parquet"
-
 
 def read_landing(spark: SparkSession, path: str, period: str,
                  types: dict[str, str] = CANONICAL_TYPES,
@@ -144,11 +139,6 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).json(path)
 
 
-def period_of(path: str) -> str | None:
-    """``yyyy-MM`` of a landing file name, or None."""
-    m = re.search(PERIOD_RE, path)
-    return m.group(1) if m else None
-
 
 def period_from_path() -> "F.Column":
     """``yyyy-MM`` of the file a row came from: from a ``ref_year=/ref_month=``

@@ -11,12 +11,11 @@ Money goes through DECIMAL so no engine-specific double rounding enters.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.config import Scope
+from tripledger.session import scratch_path
 
 # Fixed value of the adapter formula: the largest shift from the order date to
 # the pickup is 3 days + 23 hours, so 4 days bounds it.
@@ -63,8 +62,8 @@ def trips(spark: SparkSession, sf_dir: str, with_source: bool = False,
     in ``[start - 4 days, end)``.  That implied range is a plain column range
     on ``orders``, so it reaches the Parquet reader (row groups outside it
     are skipped), shrinks the join, and at scale lets Spark's runtime filter
-    prune ``lineitem`` before its shuffle.  Callers that go on to keep only
-    in-scope pickups (silver) get exactly the same rows.
+    prune ``lineitem`` before its shuffle.  Trips without a pickup are not in
+    any range, so only callers that go on to filter by month may pass it.
 
     The join is an equi-join of two fact tables on the order key.  ``orders``
     grows with ``lineitem`` (about a quarter of its rows), so it has no size
@@ -167,15 +166,19 @@ def write_trip_landing(spark: SparkSession, sf_dir: str, root: str) -> dict[str,
     ids as int32 with ``airport_fee``; odd months store them as int64, spell
     the fee ``Airport_fee`` and carry an extra column the canonical schema
     does not know.  Two Spark jobs write all periods (one per schema), each
-    partitioned by ``ref_year``/``ref_month``.
+    partitioned by ``ref_year``/``ref_month``.  Trips without a file period go
+    to a folder of their own, ``0000-00``.
     """
-    base = trips(spark, sf_dir).select(
+    stored = scratch_path(spark, "trips")
+    # The join runs once; both schemas are written from its stored result.
+    trips(spark, sf_dir).select(
         "*",
-        F.substring("_ref_period", 1, 4).alias("ref_year"),
-        F.substring("_ref_period", 6, 2).alias("ref_month"),
+        F.coalesce(F.substring("_ref_period", 1, 4), F.lit("0000")).alias("ref_year"),
+        F.coalesce(F.substring("_ref_period", 6, 2), F.lit("00")).alias("ref_month"),
         F.when(F.col("PULocationID").isin(132, 138), F.lit(1.75)).otherwise(F.lit(0.0))
         .alias("fee"),
-    )
+    ).write.parquet(stored)
+    base = spark.read.parquet(stored)
     core = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "total_amount"]
     even = base.filter(F.col("ref_month").cast("int") % 2 == 0).select(
         "VendorID", *core, "passenger_count", "PULocationID", "DOLocationID",
@@ -196,6 +199,6 @@ def write_trip_landing(spark: SparkSession, sf_dir: str, root: str) -> dict[str,
         # the writers spread over all cores (AQE splits an oversized period).
         (part.hint("rebalance", "ref_year", "ref_month")
          .write.mode("append").partitionBy("ref_year", "ref_month").parquet(target))
-    folders = {re.search(r"(ref_year=\d{4}/ref_month=\d{2})", f).group(1)
-               for f in spark.read.parquet(target).inputFiles()}
-    return {f"{d[9:13]}-{d[-2:]}": f"{target}/{d}" for d in sorted(folders)}
+    months = base.select("ref_year", "ref_month").distinct().collect()  # one row per folder
+    return {f"{m.ref_year}-{m.ref_month}":
+            f"{target}/ref_year={m.ref_year}/ref_month={m.ref_month}" for m in sorted(months)}

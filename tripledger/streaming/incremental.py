@@ -122,9 +122,3 @@ def start(spark: SparkSession, landing_root: str, scope: Scope, focus_period: st
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time)
     return writer.start()
-
-
-def files_seen(spark: SparkSession, tables: MD.Tables) -> DataFrame:
-    """Bronze rows per period and source file, as loaded so far."""
-    return spark.table(tables.bronze).groupBy("_ref_period", "_source_file").agg(
-        F.count(F.lit(1)).alias("registros"))
