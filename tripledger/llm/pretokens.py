@@ -112,16 +112,13 @@ class PretokenTable:
     """What each distinct pre-token stands for, worked out once per worker.
 
     ``work(word)`` gives a tuple of facets.  Pre-tokens cut in numpy are known
-    by a 64-bit hash; the table starts anew when it holds ``limit`` entries,
-    which bounds both its memory and the odds of two equal hashes (under 1e-8
-    for a full table).
+    by a 64-bit hash, others by their text; either part starts anew when it
+    holds ``limit`` entries, which bounds both the memory (some 350 bytes an
+    entry) and the odds of two equal hashes (under 1e-7 for a full table).
     """
 
-    def __init__(self, vocabulary: Vocabulary, work, limit: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, work, limit: int = 800_000):
         self.vocabulary, self.work, self.limit = vocabulary, work, limit
-        self._clear()
-
-    def _clear(self):
         self.by_hash: dict[int, tuple] = {}
         self.by_word: dict[object, tuple] = {}
 
@@ -134,8 +131,9 @@ class PretokenTable:
     def rows(self, column):
         """Per row of an Arrow string column: the list of its pre-tokens' facets."""
         for _, _, data, offsets in tb.chunks(column):
-            if len(self.by_hash) + len(self.by_word) > self.limit:
-                self._clear()
+            for part in (self.by_hash, self.by_word):
+                if len(part) > self.limit:
+                    part.clear()
             plain = plain_rows(data, offsets)
             low, starts, ends, first = cut_plain(data, offsets)
             hashes = tb.span_hash(tb.prefix_hash(low), starts, ends)
@@ -150,8 +148,7 @@ class PretokenTable:
                 found = known.get(key)
                 if found is None:
                     at = sample[i]
-                    found = known[key] = self.word(raw[starts[at]:ends[at]].decode(
-                        "utf-8", "replace"))
+                    found = known[key] = self.work(raw[starts[at]:ends[at]].decode("utf-8"))
                 facets[i] = found
             for row in range(len(offsets) - 1):
                 if plain[row]:
