@@ -6,6 +6,8 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_CHECK, SF_SMALL
 from tripledger.plans.compare import compare, duckdb_connection
+from tripledger.plans.oracles import ORACLES
+from tripledger.plans.registry import QUERIES
 
 CORE = ["classify_trips", "monthly_revenue", "hourly_passengers", "amount_distribution",
         "duplicate_summary", "implementations_agree"]
@@ -16,7 +18,7 @@ def con_small():
     return duckdb_connection(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle_small(spark, con_small, name):
     r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF_SMALL, con_small)
     assert r["columns_match"], r
@@ -33,7 +35,7 @@ def test_core_query_matches_oracle_at_check_scale(spark, name):
 def test_every_query_has_oracle_or_is_listed():
     rows_only = {"landing_listing", "landing_fingerprint", "schema_probe", "ingest_decision",
                  "ingest_summary"}
-    assert set(E.queries()) - set(E.oracle_sql()) == rows_only
+    assert set(QUERIES) - set(ORACLES) == rows_only
 
 
 def test_entry_runs(spark):
@@ -42,7 +44,7 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {
     "partition_overwrite", "medallion_roundtrip", "unified_months", "ingest_decision",
     "ingest_summary"}))
 def test_no_python_workers_in_plans(spark, name):

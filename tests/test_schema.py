@@ -2,10 +2,15 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tripledger.config import CANONICAL_TYPES, REQUIRED_COLUMNS
-from tripledger.sources.landing import read_landing, read_landing_grouped, read_periods
-from tripledger.sources.schema import check_required_columns, missing_required, resolve
+from tripledger.sources.landing import read_landing, read_landing_grouped
+from tripledger.sources.schema import SchemaMismatch, absent, fit, fit_or_refuse
+
+
+def _schema(names, kind=None):
+    return StructType([StructField(n, kind or StringType()) for n in names])
 
 
 @pytest.mark.parametrize("available,wanted,expected", [
@@ -15,20 +20,51 @@ from tripledger.sources.schema import check_required_columns, missing_required,
     (["total_amount"], "trip_distance", None),
     ([], "VendorID", None),
 ])
-def test_resolve(available, wanted, expected):
-    assert resolve(available, wanted) == expected
+def test_fit_matches_names_without_case(available, wanted, expected):
+    served = fit(_schema(available), {wanted: "string"}).served_by[wanted]
+    assert (served and served.name) == expected
 
 
-def test_required_missing_raises_naming_column():
+def test_required_missing_raises_naming_column_and_period():
     cols = [c for c in REQUIRED_COLUMNS if c != "total_amount"]
-    with pytest.raises(ValueError, match="total_amount"):
-        check_required_columns(cols, "2023-01")
+    with pytest.raises(SchemaMismatch, match="2023-01.*total_amount"):
+        fit_or_refuse(_schema(cols), "2023-01")
 
 
 def test_required_exact_and_mixed_case_pass():
-    check_required_columns(list(REQUIRED_COLUMNS), "2023-01")
-    check_required_columns([c.upper() for c in REQUIRED_COLUMNS], "2023-01")
-    assert missing_required([c.lower() for c in REQUIRED_COLUMNS]) == []
+    fit_or_refuse(_schema(REQUIRED_COLUMNS), "2023-01")
+    fit_or_refuse(_schema([c.upper() for c in REQUIRED_COLUMNS]), "2023-01")
+    assert absent([c.lower() for c in REQUIRED_COLUMNS]) == []
+
+
+def test_names_differing_only_in_case_are_refused():
+    with pytest.raises(SchemaMismatch, match="Fee.*fee"):
+        fit_or_refuse(_schema(["Fee", "fee"]), "2023-01", {"fee": "double"}, ())
+
+
+def test_a_type_that_cannot_be_cast_is_refused():
+    nested = _schema(["fee"], ArrayType(StringType()))
+    with pytest.raises(SchemaMismatch, match="array<string>"):
+        fit_or_refuse(nested, "2023-01", {"fee": "double"}, ())
+
+
+@pytest.mark.parametrize("incomplete", ["a", "z"])
+def test_one_incomplete_file_refuses_the_period(spark, tmp_path, incomplete):
+    folder = tmp_path / "ref_year=2023" / "ref_month=05"
+    _write(spark, str(folder / "m"), "int", "airport_fee")
+    _write(spark, str(folder / incomplete), "int", "airport_fee", drop="total_amount")
+    with pytest.raises(ValueError, match="total_amount"):
+        read_landing(spark, str(folder), "2023-05")
+
+
+def test_files_of_one_period_may_differ_in_optional_columns(spark, tmp_path):
+    folder = tmp_path / "ref_year=2023" / "ref_month=06"
+    _write(spark, str(folder / "a"), "int", "airport_fee")
+    _write(spark, str(folder / "b"), "long", "Airport_fee", extra=True)
+    _write(spark, str(folder / "c"), "int", "other_fee")
+    read = read_landing(spark, str(folder), "2023-06")
+    assert read.unexpected == ["brand_new_col", "other_fee"]
+    assert sorted(str(r.airport_fee) for r in read.df.collect()) == ["1.75", "1.75", "None"]
 
 
 def test_canonical_types_cover_required_and_keep_ntz():
@@ -63,7 +99,7 @@ def test_drifting_months_read_and_union(spark, tmp_path):
     rb = read_landing(spark, b, "2023-02")
     assert rb.unexpected == ["brand_new_col"]
     assert "RatecodeID" in rb.missing_optional
-    u = read_periods(spark, {"2023-01": a, "2023-02": b})
+    u = read_landing(spark, a, "2023-01").df.unionByName(rb.df)
     g = read_landing_grouped(spark, {"2023-01": a, "2023-02": b})
     for df in (u, g):
         assert dict(df.dtypes)["VendorID"] == "int"

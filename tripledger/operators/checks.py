@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripledger.config import REQUIRED_COLUMNS, Scope
-from tripledger.sources.schema import missing_required
+from tripledger.sources.schema import absent
 
 
 def _count_row(df: DataFrame, name: str) -> DataFrame:
@@ -64,7 +64,7 @@ def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def required_present(df: DataFrame, required: tuple[str, ...] = REQUIRED_COLUMNS) -> list[str]:
     """C4: required columns missing from ``df`` (case-insensitive); [] is good."""
-    return missing_required(df.columns, required)
+    return absent(df.columns, required)
 
 
 def volume_band(period_volume: DataFrame, low: int, high: int) -> DataFrame:

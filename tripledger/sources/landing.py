@@ -11,14 +11,17 @@ fingerprints use the ``binaryFile`` source, so they are distributed Spark jobs
 from __future__ import annotations
 
 import logging
-import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripledger.config import CANONICAL_TYPES, REQUIRED_COLUMNS
-from tripledger.sources.schema import canonical_projection
+from tripledger.sources.schema import fit_or_refuse
 
 log = logging.getLogger(__name__)
 
@@ -32,7 +35,7 @@ MANIFEST_SCHEMA = (
 
 @dataclass
 class LandingRead:
-    """A canonical month DataFrame plus what the schema check found."""
+    """A canonical DataFrame plus what fitting its files' footers left over."""
 
     df: DataFrame
     period: str
@@ -40,49 +43,100 @@ class LandingRead:
     unexpected: list[str] = field(default_factory=list)
 
 
+@dataclass(frozen=True)
+class LandedFile:
+    """One landed Parquet file: its period and its footer's schema."""
+
+    period: str
+    path: str
+    schema: StructType
+
+    @property
+    def names_its_period(self) -> bool:
+        """Whether ``period_from_path`` reads the period off the path."""
+        year, month = self.period.split("-")
+        return self.path.endswith(f"{self.period}.parquet") or \
+            f"ref_year={year}/ref_month={month}/" in self.path
+
+
+def landed_files(spark: SparkSession, paths: dict[str, str]) -> list[LandedFile]:
+    """Every Parquet file under each period's path, with its own footer schema.
+
+    Metadata only (names and footers, never rows), read concurrently; a period
+    without any file is an error."""
+    def names(path: str) -> list[str]:
+        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                   .option("pathGlobFilter", "*.parquet").load(path))
+        return sorted(unquote(f) for f in listing.inputFiles())
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        per_period = list(zip(sorted(paths), pool.map(names, [paths[p] for p in sorted(paths)])))
+        empty = [p for p, files in per_period if not files]
+        if empty:
+            raise FileNotFoundError(f"no Parquet file for the periods {empty}")
+        return list(pool.map(
+            lambda f: LandedFile(*f, spark.read.parquet(f[1]).schema),
+            [(p, f) for p, files in per_period for f in files]))
+
+
+def _read_files(spark: SparkSession, files: list[LandedFile], types: dict[str, str],
+                required: tuple[str, ...]) -> LandingRead:
+    """The files in the canonical schema with lineage: one scan per footer schema.
+
+    Every footer is fitted before any scan is planned, so one unreadable file
+    refuses the load whatever the order of the files.  Files whose path does
+    not carry their period get a scan per period."""
+    if not files:
+        raise ValueError("no periods given")
+    alike: dict[tuple[str, str | None], list[LandedFile]] = {}
+    for f in files:
+        alike.setdefault((f.schema.json(), None if f.names_its_period else f.period), []).append(f)
+    fits = {k: fit_or_refuse(members[0].schema, f"[{members[0].period}] {members[0].path}",
+                             types, required)
+            for k, members in alike.items()}
+    scans = []
+    for k, members in alike.items():
+        period = period_from_path() if k[1] is None else F.lit(k[1])
+        scans.append(
+            spark.read.schema(members[0].schema).parquet(*[f.path for f in members]).select(
+                *fits[k].columns(),
+                F.col("_metadata.file_path").alias("_source_file"),
+                F.current_timestamp().alias("_ingested_at"),
+                period.alias("_ref_period"),
+                F.substring(period, 1, 4).cast("int").alias("_ref_year"),
+                F.substring(period, 6, 2).cast("int").alias("_ref_month"),
+            ))
+    read = LandingRead(
+        reduce(DataFrame.unionByName, scans), ", ".join(sorted({f.period for f in files})),
+        sorted({c for x in fits.values() for c in x.missing}),
+        sorted({c for x in fits.values() for c in x.unexpected}))
+    for what, columns in (("filled with NULL", read.missing_optional),
+                          ("not read", read.unexpected)):
+        if columns:
+            log.warning("[%s] columns %s: %s", read.period, what, ", ".join(columns))
+    return read
+
 
 def read_landing(spark: SparkSession, path: str, period: str,
                  types: dict[str, str] = CANONICAL_TYPES,
                  required: tuple[str, ...] = REQUIRED_COLUMNS) -> LandingRead:
     """One period's file(s) in the canonical schema with lineage.
 
-    Required columns missing -> ``ValueError`` naming them; optional ones
-    missing -> typed NULL; unknown ones are dropped.  Both lists are returned
-    and logged.  Audit columns: the file path each row came from (scan
-    metadata), one ingestion timestamp, and the period literals.
-    """
-    raw = spark.read.parquet(path)
-    proj = canonical_projection(raw.columns, period, types, required)
-    if proj.missing_optional:
-        log.warning("[%s] optional columns missing, filled with NULL: %s",
-                    period, ", ".join(proj.missing_optional))
-    if proj.unexpected:
-        log.warning("[%s] unknown source columns ignored: %s", period, ", ".join(proj.unexpected))
-    year, month = period.split("-")
-    df = raw.select(
-        *proj.columns,
-        F.col("_metadata.file_path").alias("_source_file"),
-        F.current_timestamp().alias("_ingested_at"),
-        F.lit(period).alias("_ref_period"),
-        F.lit(int(year)).alias("_ref_year"),
-        F.lit(int(month)).alias("_ref_month"),
-    )
-    return LandingRead(df, period, proj.missing_optional, proj.unexpected)
+    The schema is decided per file: a file lacking a required column refuses
+    the period (``SchemaMismatch``, a ``ValueError``), a missing optional
+    column becomes a typed NULL in that file's rows, unknown columns are not
+    read; the last two are returned and logged."""
+    return _read_files(spark, landed_files(spark, {period: path}), types, required)
 
 
-def read_periods(spark: SparkSession, paths: dict[str, str],
-                 types: dict[str, str] = CANONICAL_TYPES) -> DataFrame:
-    """Several periods read one by one and unioned by name.
+def read_landing_grouped(spark: SparkSession, paths: dict[str, str],
+                         types: dict[str, str] = CANONICAL_TYPES,
+                         required: tuple[str, ...] = REQUIRED_COLUMNS) -> DataFrame:
+    """Several periods at once; drifting types never meet inside a reader.
 
-    Each period is its own scan with its own footer schema, so drifting types
-    never meet inside a reader; the union is of identically typed plans."""
-    reads = [read_landing(spark, path, period, types).df for period, path in sorted(paths.items())]
-    if not reads:
-        raise ValueError("no periods given")
-    out = reads[0]
-    for r in reads[1:]:
-        out = out.unionByName(r)
-    return out
+    Files of one footer schema share a scan (one set of tasks), whatever their
+    period; the scans are unioned by name."""
+    return _read_files(spark, landed_files(spark, paths), types, required).df
 
 
 def landing_listing(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
@@ -139,7 +193,6 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).json(path)
 
 
-
 def period_from_path() -> "F.Column":
     """``yyyy-MM`` of the file a row came from: from a ``ref_year=/ref_month=``
     folder, else from a ``..._yyyy-MM.parquet`` file name."""
@@ -148,61 +201,3 @@ def period_from_path() -> "F.Column":
                          F.regexp_extract(path, r"ref_month=(\d{2})", 1))
     from_name = F.regexp_extract(path, r"(\d{4}-\d{2})\.parquet$", 1)
     return F.when(from_name != "", from_name).otherwise(from_dirs)
-
-
-def schema_groups(spark: SparkSession, paths: dict[str, str]) -> list[list[str]]:
-    """Periods grouped by identical footer schema (names and types).
-
-    One footer read per period on the driver: metadata only, the number of
-    periods, never the rows."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    items = sorted(paths.items())
-    # Footer reads are independent planning calls; issue them concurrently.
-    with ThreadPoolExecutor(max_workers=max(1, min(16, len(items)))) as pool:
-        schemas = list(pool.map(lambda kv: spark.read.parquet(kv[1]).schema.json(), items))
-    groups: dict[str, list[str]] = {}
-    for (period, _), schema in zip(items, schemas):
-        groups.setdefault(schema, []).append(period)
-    return list(groups.values())
-
-
-def read_landing_grouped(spark: SparkSession, paths: dict[str, str],
-                         types: dict[str, str] = CANONICAL_TYPES,
-                         required: tuple[str, ...] = REQUIRED_COLUMNS) -> DataFrame:
-    """U3 at scale: one scan per *schema group* instead of one per period.
-
-    Periods sharing a footer schema are read together (one file listing, one
-    set of tasks) and cast once; groups are unioned by name.  The file period
-    of each row comes from its file path."""
-    out = None
-    for group in schema_groups(spark, paths):
-        if not all(_path_names_period(paths[p], p) for p in group):
-            # Paths that do not carry their period: one scan per period.
-            df = read_periods(spark, {p: paths[p] for p in group}, types)
-            out = df if out is None else out.unionByName(df)
-            continue
-        raw = spark.read.parquet(*[paths[p] for p in group])
-        label = f"{group[0]}..{group[-1]}" if len(group) > 1 else group[0]
-        proj = canonical_projection(raw.columns, label, types, required)
-        period = period_from_path()
-        df = raw.select(
-            *proj.columns,
-            F.col("_metadata.file_path").alias("_source_file"),
-            F.current_timestamp().alias("_ingested_at"),
-            period.alias("_ref_period"),
-            F.substring(period, 1, 4).cast("int").alias("_ref_year"),
-            F.substring(period, 6, 2).cast("int").alias("_ref_month"),
-        )
-        out = df if out is None else out.unionByName(df)
-    if out is None:
-        raise ValueError("no periods given")
-    return out
-
-
-def _path_names_period(path: str, period: str) -> bool:
-    """Whether ``period_from_path`` can read ``period`` off every file under
-    ``path`` (a ``ref_year=/ref_month=`` folder or a dated file name)."""
-    year, month = period.split("-")
-    return (f"ref_year={year}" in path and f"ref_month={month}" in path) or \
-        path.rstrip("/").endswith(f"{period}.parquet")

@@ -62,8 +62,8 @@ def period_folder(path: str) -> tuple[str, str] | None:
     if m:
         return f"{m.group(1)}-{m.group(2)}", folder
     m = _NAME.search(path)
-    if m:
-        return m.group(1), path
+    if m:  # every dated file of the period beside it, not only the new one
+        return m.group(1), f"{folder}/*{m.group(1)}.parquet"
     return None
 
 
@@ -74,9 +74,9 @@ def process_batch(spark: SparkSession, files: DataFrame, scope: Scope, focus_per
     for row in files.select("path").collect():  # bounded by maxFilesPerTrigger
         pf = period_folder(row.path)
         if pf is None:
-            log.warning("landing file without a period, skipped: %s", row.path)
-            continue
-        found[pf[0]] = pf[1]
+            raise ValueError(f"landing file without a period: {row.path}")
+        if found.setdefault(*pf) != pf[1]:
+            raise ValueError(f"period {pf[0]} is landed in two places: {found[pf[0]]}, {pf[1]}")
     if not found:
         return {"periodos": 0}
     first_load = not MD.W.table_exists(spark, tables.silver)
