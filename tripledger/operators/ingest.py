@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 STATUS_LOAD = "load"
 STATUS_SKIP = "skip"
+UNKNOWN_SIZE = "size_unknown"  # a recorded file is kept, not fetched again
 
 
 def latest_manifest(manifest: DataFrame, key: str = "period") -> DataFrame:
@@ -45,11 +46,13 @@ def ingest_decision(fingerprints: DataFrame, manifest: DataFrame, key: str = "pe
         F.when(F.lit(force), F.lit("forced"))
         .when(F.col("manifest_bytes").isNull(), F.lit("new"))
         .when(F.col("manifest_bytes") != F.col("bytes"), F.lit("size_changed"))
+        .when(F.col("bytes").isNull(), F.lit(UNKNOWN_SIZE))
         .when(~F.col("manifest_sha256").eqNullSafe(F.col("sha256")), F.lit("content_changed"))
     )
     return j.select(
         key, "landing_path", "bytes", "sha256", "manifest_bytes", "manifest_sha256",
-        F.when(reason.isNull(), F.lit(STATUS_SKIP)).otherwise(F.lit(STATUS_LOAD)).alias("status"),
+        F.when(reason.isNull() | (reason == UNKNOWN_SIZE), F.lit(STATUS_SKIP))
+        .otherwise(F.lit(STATUS_LOAD)).alias("status"),
         F.coalesce(reason, F.lit("unchanged")).alias("reason"),
     )
 

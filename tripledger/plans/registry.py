@@ -68,7 +68,8 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.monthly_revenue(silver(spark, sf_dir))
+    """Sums and tickets per month; only A1 itself needs the median."""
+    return M.monthly_sums(silver(spark, sf_dir))
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +101,7 @@ def quarantined_trips(spark, sf_dir):
 @register("monthly_revenue")
 def monthly_revenue(spark, sf_dir):
     """A1."""
-    return fixed_digits(monthly(spark, sf_dir))
+    return fixed_digits(M.monthly_revenue(silver(spark, sf_dir))).orderBy("pickup_year_month")
 
 
 @register("monthly_revenue_report")
@@ -112,7 +113,7 @@ def monthly_revenue_report(spark, sf_dir):
 @register("hourly_passengers")
 def hourly_passengers(spark, sf_dir):
     """A2."""
-    return fixed_digits(hourly(spark, sf_dir))
+    return fixed_digits(hourly(spark, sf_dir)).orderBy("pickup_hour")
 
 
 @register("hourly_passengers_report")
@@ -175,8 +176,15 @@ def out_of_month(spark, sf_dir):
 
 @register("reload_detector")
 def reload_detector(spark, sf_dir):
-    """Zero rows when every period was loaded once."""
-    return P.reload_detector(bronze(spark, sf_dir))
+    """A12/C2 over a bronze copy whose focus period was appended twice."""
+    from tripledger.session import scratch_path
+
+    path = scratch_path(spark, "reloaded")
+    batch = bronze(spark, sf_dir).select("_ref_period", "_ingested_at")
+    batch.write.parquet(path)
+    again = bronze(spark, sf_dir).select("_ref_period", "_ingested_at")  # a later batch time
+    again.where(F.col("_ref_period") == FOCUS).write.mode("append").parquet(path)
+    return P.reload_detector(spark.read.schema(batch.schema).parquet(path))
 
 
 @register("panorama")
@@ -284,6 +292,21 @@ def conservation(spark, sf_dir):
     return C.conservation(bronze(spark, sf_dir), silver(spark, sf_dir), quarantine(spark, sf_dir))
 
 
+@register("volume_band")
+def volume_band(spark, sf_dir):
+    """Per file period, one source file and a row count within a band."""
+    volume = P.period_volume(bronze(spark, sf_dir, with_source=True)).drop("ingerido_em")
+    return C.volume_band(volume, 10, 1000)
+
+
+@register("scope_exact")
+def scope_exact(spark, sf_dir):
+    """Months by which silver and a scope differ; the scope is moved by a
+    month, so that one month is missing, one is beyond it, and the trips
+    without a pickup are beyond it too."""
+    return C.scope_exact(P.scope_check(silver(spark, sf_dir)), Scope("1996-02", "1996-06"))
+
+
 @register("discard_rate")
 def discard_rate(spark, sf_dir):
     """A28."""
@@ -419,6 +442,18 @@ def partition_overwrite(spark, sf_dir):
     )
 
 
+@register("load_history")
+def load_history(spark, sf_dir):
+    """Rows per load of two periods, one of them reloaded, read
+    back from the load history."""
+    paths = _landing(spark, sf_dir)
+    t = _tables()
+    chosen = {p: paths[p] for p in (SCOPE.first, FOCUS)}
+    MD.assert_complete(MD.build_bronze(spark, chosen, t))
+    MD.load_bronze_period(spark, paths[FOCUS], FOCUS, t)
+    return MD.W.load_history(spark, t.history).select("partition_value", "rows")
+
+
 @register("medallion_roundtrip")
 def medallion_roundtrip(spark, sf_dir):
     """Landing -> bronze -> silver + quarantine -> gold
@@ -520,11 +555,19 @@ def sql_twins_agree(spark, sf_dir):
     (A3, A4, A12, A14, A21); every count is 0 when they agree."""
     from tripledger.plans import sql as S
 
-    b = bronze(spark, sf_dir)
-    m, h = monthly(spark, sf_dir), hourly(spark, sf_dir)
+    from tripledger.session import scratch_path
+
+    def stored(df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(spark, label)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    b = stored(bronze(spark, sf_dir), "twins-bronze")
+    s = Q.valid_rows(Q.classify(b, SCOPE))
     pairs = {
-        "divergencias_a3": (S.monthly_report_sql(spark, m), M.monthly_report(m)),
-        "divergencias_a4": (S.hourly_report_sql(spark, h), M.hourly_report(h)),
+        "divergencias_a3": (S.monthly_report_sql(spark, s), M.monthly_report(M.monthly_sums(s))),
+        "divergencias_a4": (S.hourly_report_sql(spark, s, FOCUS),
+                            M.hourly_report(M.hourly_passengers(s, FOCUS))),
         "divergencias_a12": (S.reload_detector_sql(spark, b), P.reload_detector(b)),
         "divergencias_a14": (S.month_sources_sql(spark, b).withColumn(
             "arquivos_de_origem", F.array_join("arquivos_de_origem", ",")),
