@@ -186,11 +186,15 @@ def _confirm(rows: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _with_parts(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``part`` of every member: the component of the links so far, or itself."""
-    known = components(links).withColumnsRenamed({"node": "did", "component": "known"})
-    return members.drop("part").join(known, "did", "left").withColumn(
-        "part", F.coalesce("known", "did")).drop("known")
+def _joined(large: DataFrame, hits: DataFrame) -> DataFrame:
+    """``large`` after the parts in ``hits`` (grp, part) became one per group.
+
+    All links of a round share the group's centre, so the parts they touch
+    form one part, whatever was joined before: no search for components."""
+    one = hits.groupBy("grp").agg(F.min("part").alias("joined"))
+    touched = hits.distinct().join(one, "grp")
+    return large.join(touched, ["grp", "part"], "left").withColumn(
+        "part", F.coalesce("joined", "part")).drop("joined")
 
 
 def _open(members: DataFrame, limit: int) -> DataFrame:
@@ -231,35 +235,37 @@ def confirm_links(members: DataFrame, degrees: DataFrame, percent: int,
             rest = rest.join(tried, ["grp", "rid"], "left_anti")
         order = F.struct(F.coalesce("degree", F.lit(0)), -F.col("did"), "rid")
         centre = rest.groupBy("grp").agg(F.max_by(
-            F.struct("rid", "did", "sig", "members"), order).alias("centre"))
+            F.struct("rid", "did", "part", "sig", "members"), order).alias("centre"))
         centre = stage(centre, "centres")
         if centre.isEmpty():
             break
-        found = large.join(centre, "grp").select(
+        found = large.join(centre, "grp").where("part != centre.part").select(
             "did", "sig", "members", F.col("centre.did").alias("c_did"),
-            F.col("centre.sig").alias("c_sig"), F.col("centre.members").alias("c_members"))
+            F.col("centre.sig").alias("c_sig"), F.col("centre.members").alias("c_members"),
+            "grp", "part", F.col("centre.part").alias("c_part"))
 
         def against(batches):
             least = (percent / 100 - MARGIN) * len(_A)
             for batch in batches:
-                a, b = [], []
+                linked = []
                 cols = [batch.column(i) for i in range(6)]
                 for i in range(batch.num_rows):
                     did, sig, own, c_did, c_sig, c_own = (c[i].as_py() for c in cols)
-                    if did != c_did and (np.frombuffer(sig, np.uint32) == np.frombuffer(
-                            c_sig, np.uint32)).sum() >= least and similar(
-                            np.frombuffer(own, np.uint64), np.frombuffer(c_own, np.uint64),
-                            percent):
-                        a.append(did)
-                        b.append(c_did)
+                    linked.append(did != c_did and (np.frombuffer(sig, np.uint32) == np.frombuffer(
+                        c_sig, np.uint32)).sum() >= least and similar(
+                        np.frombuffer(own, np.uint64), np.frombuffer(c_own, np.uint64), percent))
+                hit = batch.filter(pa.array(linked, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                    [hit.column(i) for i in (0, 3, 6, 7, 8)],
+                    names=["a", "b", "grp", "part", "c_part"])
 
-        more = stage(found.mapInArrow(against, pair_schema), "links-centre")
-        links = links.union(more)
+        more = stage(found.mapInArrow(
+            against, f"{pair_schema}, grp long, part long, c_part long"), "links-centre")
+        links = links.union(more.select("a", "b"))
         done = centre.select("grp", "centre.rid")
         tried = done if tried is None else tried.union(done)
-        large = stage(_with_parts(large, links), "large-groups")
+        hits = more.select("grp", F.explode(F.array("part", "c_part")).alias("part"))
+        large = stage(_joined(large, hits), "large-groups")
 
     still = large.join(_open(large, block).select("grp"), "grp")
     # Blocks hold documents of one part where a part fills them, so that pairs
