@@ -23,6 +23,18 @@ def test_scope_exact(spark):
     assert got == {("2023-03", "ausente"), ("2023-07", "fora_do_escopo")}
 
 
+def test_unknown_size_keeps_a_recorded_file(spark):
+    landed = spark.createDataFrame(
+        [("2023-01", "a", None, None), ("2023-02", "b", None, None)],
+        "period string, landing_path string, bytes long, sha256 string")
+    recorded = spark.createDataFrame(
+        [("2023-01", "downloaded", 10, "h", None, "a", None, "2024-01-01")], MANIFEST_SCHEMA)
+    got = {r.period: (r.status, r.reason) for r in I.ingest_decision(landed, recorded).collect()}
+    assert got == {"2023-01": ("skip", "size_unknown"), "2023-02": ("load", "new")}
+    forced = I.ingest_decision(landed, recorded, force=True).collect()
+    assert {(r.status, r.reason) for r in forced} == {("load", "forced")}
+
+
 def test_ingest_decisions(spark, tmp_path):
     for name, size in (("a", 10), ("b", 20), ("c", 30)):
         (tmp_path / f"yellow_tripdata_2023-0{ord(name) - 96}.parquet").write_bytes(b"x" * size)
