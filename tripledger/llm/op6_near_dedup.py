@@ -45,11 +45,13 @@ SHINGLE = 5
 BANDS, ROWS = 30, 6
 BLOCK = 512  # documents of a group that one task compares at once
 MARGIN = 0.2
+SALTS = 64  # parts that a class of equal sets is dealt over
 CENTRES = 3  # rounds of comparing a large group with a central document
 
 _FACTOR = tb._random_longs(SHINGLE + 64, "shingle")
 _A = (tb._random_longs(BANDS * ROWS, "minhash-a") >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (tb._random_longs(BANDS * ROWS, "minhash-b") >> np.uint64(32)).astype(np.uint32)
+_DIGEST = ["n_shingles", "one", "two"]
 _NONE = np.zeros(0, np.uint64)
 
 
@@ -298,15 +300,29 @@ def confirm_links(members: DataFrame, degrees: DataFrame, percent: int,
     return links.union(rest)
 
 
+def _equal_sets(filled: DataFrame) -> DataFrame:
+    """One row per class of equal sets: its first document, rows and salts.
+
+    The rows of a class are dealt over its salts, so that thousands of copies
+    meet their first document in many tasks."""
+    shares = filled.groupBy(*_DIGEST, "salt").agg(
+        F.min(F.struct("did", "rid")).alias("first"), F.count(F.lit(1)).alias("n"))
+    return shares.groupBy(*_DIGEST).agg(
+        F.min("first").alias("first"), F.sum("n").alias("n"),
+        F.collect_list("salt").alias("salts"))
+
+
 def near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, n_links_found of every row."""
     docs = frames.keyed(documents)
     rows = stage(signatures(docs), "signatures")
 
-    filled = rows.where("n_shingles > 0")
-    classes = filled.groupBy("n_shingles", "one", "two").agg(
-        F.min(F.struct("did", "rid")).alias("first"))
-    copies = filled.join(classes, ["n_shingles", "one", "two"]).select(
+    filled = rows.where("n_shingles > 0").withColumn(
+        "salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)))
+    classes = stage(_equal_sets(filled), "equal-sets")
+    copies = filled.join(
+        classes.where("n > 1").select(*_DIGEST, "first", F.explode("salts").alias("salt")),
+        [*_DIGEST, "salt"]).select(
         F.col("did").alias("a"), F.col("first.did").alias("b")).where("a != b").distinct()
 
     # (band, key) of one row per class; the key holds the band's number already.
