@@ -45,16 +45,18 @@ class PrefixEncoder:
             self.merged.setdefault(pair, rank)
             if token not in self.parts:
                 self.parts[token], self.rank[token] = pair, rank
+        self.alone: dict[int, bool] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
         self.length: dict[int, int] = {}
         self.automaton = ahocorasick.Automaton()
         for token, i in ids.items():
+            if not self.whole(i):  # no text encodes to it
+                continue
             closed = token.endswith(WORD_END) and token != WORD_END
             text = token[:-len(WORD_END)] + _END if closed else token
             self.length[i] = len(text) - closed
             self.automaton.add_word(text, (i, len(text) - closed, closed))
         self.automaton.make_automaton()
-        self.alone: dict[int, bool] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
 
     def _meets(self, a: int, b: int, limit: int) -> bool:
         """Whether tokens a and b stay apart at their border before merge ``limit``.
@@ -96,13 +98,19 @@ class PrefixEncoder:
         text = symbols(word)
         n = len(text)
         last = [-1] * (n + 1)
+        known = self.pairs.get
         for end, (token, length, closed) in self.automaton.iter(text + _END):
             at = n if closed else end + 1
-            if last[at] >= 0 or (at == n) != closed or not self.whole(token):
+            if last[at] >= 0 or (at == n) != closed:
                 continue
-            before = at - length
-            if before == 0 or (last[before] >= 0 and self.compatible(last[before], token)):
-                last[at] = token
+            if at > length:
+                previous = last[at - length]
+                if previous < 0:
+                    continue
+                meets = known((previous, token))
+                if not (self.compatible(previous, token) if meets is None else meets):
+                    continue
+            last[at] = token
         out = []
         while n:
             out.append(last[n])
