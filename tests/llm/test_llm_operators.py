@@ -277,6 +277,44 @@ def test_byte_strings_match_brute_force(docs, empty):
     assert dedup(docs).count() == len(ROWS)
 
 
+def test_no_task_holds_all_windows_of_a_hot_lead(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tripledger.llm import op10_suffix_dedup as op
+
+    rng = random.Random(8)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    line, passage = noise(70), noise(260)
+    rows = [(i, noise(150) + (line if i % 2 else passage) + noise(150), "x") for i in range(60)]
+    rows += [(60, rows[0][1][20:300], "x"), (61, passage * 2, "x"), rows[1]]
+    seen, expected = set(), {}
+    for doc_id, text, _ in sorted(set(rows)):
+        raw, gone = text.encode(), set()
+        for i in range(len(raw) - 99):
+            if raw[i:i + 100] in seen:
+                gone.update(range(i, i + 100))
+            seen.add(raw[i:i + 100])
+        kept = bytes(c for i, c in enumerate(raw) if i not in gone)
+        expected[doc_id] = (doc_id, len(gone), hashlib.sha256(kept).hexdigest())
+
+    monkeypatch.setattr(op, "WINDOWS", 40)
+    sort_bucket, largest = op._sort_bucket, []
+
+    def watched(records, length, lead):
+        largest.append(records.groupBy(F.expr(f"substring(text, back + 1, {lead})").alias("k")).agg(
+            F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0)
+        return sort_bucket(records, length, lead)
+
+    monkeypatch.setattr(op, "_sort_bucket", watched)
+    got = op.dedup(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert _bag(got, "doc_id", "n_removed", "kept_sha256") == sorted(
+        (expected[r[0]] for r in rows), key=repr)
+    assert largest and max(largest) <= 40
+
+
 def test_nearest_match_brute_force(spark):
     import numpy as np
 

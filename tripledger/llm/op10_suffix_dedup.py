@@ -19,6 +19,9 @@ same offset, so it is enough to compare windows of equal anchors.
 3. Spark range-partitions the records by their leads with sampled splitters.
    Equal leads always fall into one range, so no match crosses a boundary:
    suffixes to either side differ within their leading bytes.
+   A lead with more windows than a task sorts at once is taken out before:
+   ``_hot_spans`` deals its windows by their whole bytes instead, so that no
+   task holds all the contexts of one lead.
 4. ``_sort_bucket``: inside a bucket the windows are sorted by multikey
    quicksort: by lead and offset first, then four bytes at a time, going on
    only with windows whose bytes were equal so far.  Windows equal to the end
@@ -26,8 +29,8 @@ same offset, so it is enough to compare windows of equal anchors.
 5. Spans of repeats are cut out of the documents.
 
 All comparisons are of the bytes themselves; hashes only choose anchors and
-drop what cannot repeat.  A bucket is worked through lead by lead, so memory
-follows the largest group of *different* contexts around one lead.
+drop what cannot repeat.  A bucket is worked through lead by lead, and no lead
+in it has more than ``WINDOWS`` windows, so memory does not follow the data.
 
 Defined results: NULL or empty text has no bytes: 0, 0, 0 and the digest of the
 empty string; NULL doc_id counts as smaller than every other; different texts
@@ -42,7 +45,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,7 +59,7 @@ LEAD = 48
 WINDOWS = 400_000  # windows that a task sorts at once
 HELD = 8 << 20  # bytes of records that a task holds to collapse equal ones
 
-RECORD_SCHEMA = "did long, rid long, start long, n int, back int, text binary"
+RECORD_SCHEMA = "did long, rid long, start long, n int, back int, text binary, lead long"
 
 
 class _Anchors:
@@ -128,13 +131,15 @@ def _records(joined: DataFrame, length: int, lead: int) -> DataFrame:
     """One record per anchor whose lead repeats.
 
     ``text`` holds the ``n`` windows that start at byte ``start`` of the
-    document; the lead is at ``back`` in it.  A record without ``text`` is
-    settled: an equal one starts earlier in the same portion.
+    document; the lead is at ``back`` in it and ``lead`` is its hash.  A record
+    without ``text`` and ``lead`` is settled: an equal one starts earlier in the
+    same portion.
     """
     def settle(dids, rids, found):
         """One Arrow batch of the records found, equal ones collapsed."""
         row, start, n, back = (np.concatenate(x) for x in list(zip(*found))[:4])
         texts = [t for f in found for t in f[4]]
+        leads = np.concatenate([f[5] for f in found]).view(np.int64)
         did, rid = dids[row], rids[row]
         earliest: dict[tuple, tuple] = {}
         settled = np.zeros(len(texts), bool)
@@ -146,8 +151,8 @@ def _records(joined: DataFrame, length: int, lead: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array(did), pa.array(rid), pa.array(start, pa.int64()),
              pa.array(n.astype(np.int32)), pa.array(back.astype(np.int32)),
-             pa.array(shown, pa.binary())],
-            names=["did", "rid", "start", "n", "back", "text"])
+             pa.array(shown, pa.binary()), pa.array(leads, pa.int64(), mask=settled)],
+            names=["did", "rid", "start", "n", "back", "text", "lead"])
 
     def run(batches):
         for batch in batches:
@@ -167,7 +172,8 @@ def _records(joined: DataFrame, length: int, lead: int) -> DataFrame:
                 first, n, row, raw = a.first[spot], a.n[spot], a.row[spot], data.tobytes()
                 texts = [raw[s:e] for s, e in zip(
                     first.tolist(), (first + n - 1 + length).tolist())]
-                found.append((row + i, first - offsets[row], n, a.anchor[spot] - first, texts))
+                found.append((row + i, first - offsets[row], n, a.anchor[spot] - first, texts,
+                              a.key[spot]))
                 held += int((n + length).sum())
                 if held > HELD:
                     yield settle(dids, rids, found)
@@ -252,6 +258,59 @@ def _sort_groups(records: list[tuple], length: int, lead: int):
                    np.diff(cut)[on].tolist())
 
 
+def _hot_leads(records: DataFrame) -> DataFrame:
+    """Leads (their hashes) with more windows than a task sorts at once."""
+    return records.where("lead IS NOT NULL").groupBy("lead").agg(
+        F.sum("n").alias("windows")).where(F.col("windows") > WINDOWS).select("lead")
+
+
+def _hot_spans(records: DataFrame, length: int, lead: int) -> DataFrame:
+    """Spans (did, rid, start, stop) of repeats among records of hot leads.
+
+    The windows that one task holds at once are sorted and all but the earliest
+    of a class settled; the others are dealt by their bytes.  A class that is
+    still large is only compared with its first row and spills.
+    """
+    def run(batches):
+        held, windows = [], 0
+
+        def opened():
+            rows = sorted(set(held))
+            out = []
+            settled = [np.zeros(r[3], bool) for r in rows]
+            for k, w, m in _sort_groups(rows, length, lead):
+                settled[k][w:w + m] = True
+                out.append((*rows[k][:2], rows[k][2] + w, rows[k][2] + w + m - 1 + length, None))
+            for r, gone in zip(rows, settled):
+                out += [(r[0], r[1], r[2] + w, r[2] + w + length, r[5][w:w + length])
+                        for w in np.flatnonzero(~gone).tolist()]
+            for i in range(0, len(out), 1 << 16):
+                columns = list(zip(*out[i:i + (1 << 16)]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns[:4]]
+                    + [pa.array(columns[4], pa.binary())],
+                    names=["did", "rid", "start", "stop", "window"])
+
+        for batch in batches:
+            for r in zip(*[batch.column(k).to_pylist() for k in range(6)]):
+                held.append(r)
+                windows += r[3]
+                if windows > WINDOWS // 2:
+                    yield from opened()
+                    held, windows = [], 0
+        if held:
+            yield from opened()
+
+    found = stage(records.select("did", "rid", "start", "n", "back", "text").mapInArrow(
+        run, "did long, rid long, start long, stop long, window binary"), "hot-windows")
+    # A row may be there more than once: of the first place, all have rank 1.
+    place = Window.partitionBy("window").orderBy("did", "rid", "start")
+    later = found.where("window IS NOT NULL").withColumn("place", F.rank().over(place)).where(
+        "place > 1")
+    spans = ["did", "rid", "start", "stop"]
+    return found.where("window IS NULL").select(*spans).union(later.select(*spans))
+
+
 def _sort_bucket(records: DataFrame, length: int, lead: int) -> DataFrame:
     """Spans (did, rid, start, stop) of repeats; the input is in order of ``lead``."""
     def run(batches):
@@ -324,11 +383,17 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, lead: int = LEAD)
     release(found)
     bins = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lead_bytes = F.expr(f"substring(text, back + 1, {lead})")
-    buckets = records.where("text IS NOT NULL").repartitionByRange(
+    open_records = records.where("text IS NOT NULL")
+    settled = records.where("text IS NULL").select(
+        "did", "rid", "start", (F.col("start") + F.col("n") - 1 + length).alias("stop"))
+    hot = stage(_hot_leads(records), "hot-leads")
+    if not hot.isEmpty():
+        settled = settled.union(_hot_spans(
+            open_records.join(hot, "lead", "left_semi"), length, lead))
+        open_records = open_records.join(hot, "lead", "left_anti")
+    buckets = open_records.drop("lead").repartitionByRange(
         bins, lead_bytes).sortWithinPartitions(lead_bytes)
-    spans = _sort_bucket(buckets, length, lead).union(
-        records.where("text IS NULL").select(
-            "did", "rid", "start", (F.col("start") + F.col("n") - 1 + length).alias("stop")))
+    spans = _sort_bucket(buckets, length, lead).union(settled)
     spans = stage(spans.groupBy("did", "rid").agg(
         F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
     release(records)
