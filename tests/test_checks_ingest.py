@@ -1,6 +1,9 @@
 """Checks (symmetric difference with a seeded mismatch, scope check) and the
 landing decisions (unchanged file skipped, resized or rewritten file loaded)."""
 
+import hashlib
+import random
+
 from tripledger.config import Scope
 from tripledger.operators import checks as C
 from tripledger.operators import ingest as I
@@ -59,6 +62,27 @@ def test_ingest_decisions(spark, tmp_path):
     assert summary == {"load": 2, "skip": 1}
 
 
+def test_fingerprint_of_files_too_long_for_one_row(spark, tmp_path):
+    rng = random.Random(4)
+    contents = {"2023-01": rng.randbytes(50_000), "2023-02": rng.randbytes(20_000) + b"\n",
+                "2023-03": b"\n" * 3000, "2023-04": b"\r\n\xff" * 1000, "2023-05": b"short",
+                "2023-07": b"z" * 4000}
+    for period, content in contents.items():
+        (tmp_path / f"trips_{period}.parquet").write_bytes(content)
+    settings = {"spark.sql.sources.binaryFile.maxLength": "1000",
+                "spark.sql.files.maxPartitionBytes": "7000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = {r.period: (r.bytes, r.sha256) for r in
+               landing_fingerprint(spark, str(tmp_path)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {p: (len(c), hashlib.sha256(c).hexdigest()) for p, c in contents.items()}
+
+
 def test_required_present_and_volume_band(spark):
     df = spark.createDataFrame([(1, 2)], "vendorid int, PASSENGER_COUNT int")
     assert C.required_present(df) == ["total_amount", "tpep_dropoff_datetime",

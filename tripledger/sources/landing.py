@@ -10,12 +10,14 @@ fingerprints use the ``binaryFile`` source, so they are distributed Spark jobs
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,6 +29,8 @@ log = logging.getLogger(__name__)
 
 PERIOD_RE = r"(\d{4}-\d{2})\.parquet$"
 
+WHOLE_FILE = 128 << 20  # bytes of a file that a task may hold to hash it
+
 MANIFEST_SCHEMA = (
     "period string, status string, bytes long, sha256 string, source_url string, "
     "landing_path string, duration_seconds double, ingested_at string"
@@ -162,22 +166,80 @@ def landing_listing(spark: SparkSession, root: str, glob: str = "*.parquet") ->
 def landing_fingerprint(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
     """L1: SHA-256 and byte size of every landed file.
 
-    Each file's bytes are hashed inside one task (a file is one row of the
-    ``binaryFile`` source, limited to 2 GiB); files spread over tasks."""
+    Files of up to ``WHOLE_FILE`` bytes are one row of the ``binaryFile``
+    source each, hashed in one task; longer ones, of any size, are read in
+    pieces, so that no task holds a whole one."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(root)
     )
-    return files.select(
+    limit = min(WHOLE_FILE, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength")))
+    hashed = files.where(F.col("length") <= F.lit(limit).cast("long")).select(
+        "path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
+    large = files.where(F.col("length") > F.lit(limit).cast("long")).select(
+        "path", "length", F.col("_metadata.file_path").alias("file"))
+    if not large.isEmpty():
+        hashed = hashed.union(large.join(_hashed_in_pieces(spark, root, glob, limit), "file", "left")
+                              .select("path", "length", "sha256"))
+    return hashed.select(
         F.col("path").alias("landing_path"),
         F.nullif(F.regexp_extract("path", PERIOD_RE, 1), F.lit("")).alias("period"),
         F.col("length").alias("bytes"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
+        "sha256",
     )
 
 
+def _hashed_in_pieces(spark: SparkSession, root: str, glob: str, limit: int) -> DataFrame:
+    """(file, sha256) of the files of more than ``limit`` bytes.
+
+    The bytes between two line feeds are a row; splits are read by many tasks,
+    a file's rows meet in order of place (the sort spills) and are hashed one
+    after the other.  The bytes hashed are counted against the file's size."""
+    pieces = (
+        spark.read.option("lineSep", "\n")
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
+        .text(root)
+        .where(F.col("_metadata.file_size") > F.lit(limit).cast("long"))
+        .select(F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_size").alias("size"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("at"),
+                F.col("value").cast("binary").alias("piece"))
+    )
+
+    def run(batches):
+        file, size, read, digest = None, 0, 0, None
+
+        def ended():
+            if read + 1 == size:  # a line feed ends the file
+                digest.update(b"\n")
+            elif read != size:
+                raise ValueError(f"{file}: {read} bytes read of {size}")
+            return pa.RecordBatch.from_arrays(
+                [pa.array([file]), pa.array([digest.hexdigest()])], names=["file", "sha256"])
+
+        for batch in batches:
+            for name, length, piece in zip(*(batch.column(i) for i in range(3))):
+                if name.as_py() != file:
+                    if digest is not None:
+                        yield ended()
+                    file, size, read, digest = name.as_py(), length.as_py(), 0, hashlib.sha256()
+                else:
+                    digest.update(b"\n")
+                    read += 1
+                piece = piece.as_buffer()
+                digest.update(piece)
+                read += piece.size
+        if digest is not None:
+            yield ended()
+
+    return pieces.repartition("file").sortWithinPartitions("file", "block", "at").select(
+        "file", "size", "piece").mapInArrow(run, "file string, sha256 string")
+
+
 def schema_probe(spark: SparkSession, path: str) -> DataFrame:
     """Column name, type and nullability of one Parquet file (or folder),
     read from its footer; one row per column."""
