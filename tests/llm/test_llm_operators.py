@@ -118,6 +118,27 @@ def test_chat_fold_render_and_read_back(spark):
     assert digests(render(fold_events(turn_events(turns.limit(0))))).count() == 0
 
 
+def test_loss_digest_is_the_text_under_the_mask(spark):
+    from pyspark.sql import functions as F
+
+    from tripledger.llm.op1_chat_format import digests, fold_events, render, turn_events
+
+    rng = random.Random(2)
+    parts = ["é", "日本", "🙂", "plain words ", "</s>", "\\<|end|>", "\n", "<|turn|>"]
+    turns = [(c, i, rng.choice(["user", "assistant", "tool\n"]),
+              "".join(rng.choice(parts) for _ in range(rng.randint(0, 12))))
+             for c in range(6) for i in range(c * 15)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rendered = render(fold_events(turn_events(table)))
+    loss = {c: "".join(t for d, _, r, t in turns if d == c and r == "assistant") for c in range(1, 6)}
+    got = {r["conv_id"]: (r["loss_chars"], r["loss_sha256"]) for r in digests(rendered).collect()}
+    assert got == {c: (len(t), hashlib.sha256(t.encode()).hexdigest()) for c, t in loss.items()}
+    # Another mask gives other text: here three code points of the first mark.
+    marks = rendered.withColumn("loss_spans", F.expr(
+        "transform(array(0, 1, 6), x -> struct(cast(x as bigint) as start, 1L as length))"))
+    assert {r["loss_sha256"] for r in digests(marks).collect()} == {hashlib.sha256(b"<||").hexdigest()}
+
+
 def test_bpe_equals_the_library(spark, docs, empty):
     from tokenizers import Tokenizer
 

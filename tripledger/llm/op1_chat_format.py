@@ -143,19 +143,51 @@ def turn_events(rows: DataFrame) -> DataFrame:
         F.lit("message").alias("kind"), "role", "text")
 
 
-def digests(formatted: DataFrame) -> DataFrame:
-    """What the rendered conversations say, read back from ``formatted`` alone."""
-    turns = formatted.select(
+def under_mask(formatted: Column, spans: Column) -> Column:
+    """The pieces of a rendered text that its loss mask covers, in order.
+
+    A substring counts code points from the beginning, so the text is cut into
+    blocks first and a span out of its blocks: the work grows with the square
+    root of the number of spans, not with the number.
+    """
+    size = F.ceil(F.length(formatted) / F.sqrt(F.size(spans) + F.lit(1))).cast("int")
+
+    def number(place: Column, size: Column) -> Column:
+        return F.floor(place / size).cast("int")
+
+    def blocks(size: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), number(F.length(formatted), size)),
+            lambda i: F.substr(formatted, i * size + F.lit(1), size))
+
+    def cut(held: Column, span: Column) -> Column:
+        first = number(span["start"], held["size"])
+        last = number(span["start"] + span["length"], held["size"])
+        own = F.array_join(F.slice(held["blocks"], first + F.lit(1), last - first + F.lit(1)), "")
+        start = span["start"].cast("int") - first * held["size"] + F.lit(1)
+        return F.substr(own, start, span["length"].cast("int"))
+
+    # Arrays of one, so that the blocks are made once and not for each span.
+    sized = F.transform(F.array(size), lambda n: F.struct(
+        n.alias("size"), blocks(n).alias("blocks")))
+    return F.flatten(F.transform(sized, lambda held: F.transform(
+        spans, lambda span: cut(held, span))))
+
+
+def digests(rendered: DataFrame) -> DataFrame:
+    """What the rendered conversations say, read back from ``formatted``, and the
+    text under their loss mask, cut out of it by ``loss_spans``."""
+    turns = rendered.select(
         "conv_id", F.length("formatted").cast("long").alias("formatted_chars"),
-        read_back(F.col("formatted")).alias("turns"))
+        read_back(F.col("formatted")).alias("turns"),
+        F.array_join(F.transform(under_mask(F.col("formatted"), F.col("loss_spans")), unescape),
+                     "").alias("loss"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(
         t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(
-        F.filter("turns", lambda t: t["role"] == LOSS_ROLE), lambda t: t["text"]), "")
     return (
         turns.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
                      F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
-                     loss.alias("loss"), "formatted_chars")
+                     "loss", "formatted_chars")
         .select("conv_id", "n_turns", "turns_sha256",
                 F.length("loss").cast("long").alias("loss_chars"),
                 F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
