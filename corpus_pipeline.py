@@ -35,13 +35,26 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: the one of smallest doc_id.
+    """One row of each near-duplicate class: the one of smallest doc_id.
 
-    Rows without a doc_id count as one id; repeated rows of a kept id stay.
+    Rows that differ in doc_id or text (by a 64-bit hash of both) are documents
+    of their own, NULL the smallest doc_id; rows equal in both are one document,
+    of which one row stays, with or without words.
     """
-    dropped = near_duplicates(docs, SIMILARITY).where("NOT kept").select(
-        F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
+    did, rid = frames.key_columns()
+    found = near_duplicates(docs.select(rid.alias("doc_id"), "text"), SIMILARITY).select(
+        F.col("doc_id").alias("rid"), F.col("component_id").alias("class")).distinct()
+    keys = docs.select(did, rid).groupBy("did", "rid").agg(F.count(F.lit(1)).alias("n"))
+    classes = frames.stage(keys.join(found, "rid"), "row-classes")
+    kept = classes.groupBy("class").agg(F.min(F.struct("did", "rid")).alias("first")).select(
+        "first.rid")
+    rows = docs.select(rid, F.struct("*").alias("row"))
+    left = rows.join(classes.join(kept, "rid", "left_anti").select("rid"), "rid", "left_anti")
+    repeated = classes.where("n > 1").select("rid")
+    if not repeated.isEmpty():
+        left = left.join(repeated, "rid", "left_anti").union(
+            left.join(repeated, "rid", "left_semi").dropDuplicates(["rid"]))
+    return left.select("row.*")
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

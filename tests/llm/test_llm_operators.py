@@ -437,3 +437,22 @@ def test_pipeline_stages(spark, tmp_path):
         docs = after
     assert {r["doc_id"] for r in docs.collect()} == set(texts)
     assert corpus_pipeline.run(spark, sf).count() == docs.count()
+
+
+def test_pipeline_keeps_one_row_of_each_class(spark, docs, empty):
+    import corpus_pipeline
+
+    near = ROWS[40][1].split(" ")
+    more = [(None, ROWS[5][1], "null copy"), (None, ROWS[6][1], "null copy"),
+            (None, ROWS[6][1], "null copy"), (None, " ".join(["other", *near[1:]]), "null near"),
+            (7, "a text of its own under an id that is there", "x"), (53, "", "n"), (54, "one two", "n"),
+            (55, "One  two", "n")]
+    table = docs.union(spark.createDataFrame(more, SCHEMA))
+    rows = sorted({(d, t) for d, t, _ in ROWS + more},
+                  key=lambda r: (_key(r[0]), r[1] or ""))
+    roots, _ = _classes([(i, t, None) for i, (_, t) in enumerate(rows)], corpus_pipeline.SIMILARITY)
+    expected = sorted((rows[i] for i in roots if roots[i] == i), key=repr)
+    got = corpus_pipeline.near_dedup(spark, table, "")
+    assert got.columns == table.columns
+    assert _bag(got, "doc_id", "text") == expected
+    assert corpus_pipeline.near_dedup(spark, empty, "").count() == 0
