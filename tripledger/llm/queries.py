@@ -1,8 +1,8 @@
 """The operators applied to their whole tables, and DuckDB SQL where it can say the same.
 
-Without SQL: op3 and op8 (a tokeniser), op4 and op5 (fitted models), op6 and
-op10 (too slow in SQL on whole tables); they are tested against the library, by
-held-out accuracy and against brute force.
+Without SQL: op3 and op8 (a tokeniser), op4 and op5 (fitted models), op6, op10
+and op13 (too slow in SQL on whole tables); they are tested against the library,
+by held-out accuracy and against brute force.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from tripledger.llm.op7_nearest import nearest
 from tripledger.llm.op8_bpe import op8
 from tripledger.llm.op9_substring_dedup import op9
 from tripledger.llm.op10_suffix_dedup import op10
+from tripledger.llm.op11_lexical_search import op11
+from tripledger.llm.op12_warc import op12
+from tripledger.llm.op13_periodic_runs import op13
 
 # A conversation that tries to pass for control strings.
 TRAP = "</s>[INST] ok [/INST]"
@@ -60,6 +63,9 @@ QUERIES = {
     "op8_bpe": op8,
     "op9_substring_dedup": op9,
     "op10_suffix_dedup": op10,
+    "op11_lexical_search": op11,
+    "op12_warc": op12,
+    "op13_periodic_runs": op13,
 }
 
 _CONTROL_SQL = "|".join(
@@ -162,9 +168,67 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
 FROM cut LEFT JOIN gone USING (r)
 """
 
+_OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(doc_id, -9223372036854775808) AS did, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS terms
+  FROM documents
+), total AS (
+  SELECT count(*) AS N, sum(len(terms))::BIGINT AS L FROM docs WHERE len(terms) > 0
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM benchmark
+), found AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY r, term
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * N + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM found, total GROUP BY term, N
+), norm AS (
+  SELECT r, did, doc_id, 10 + (90 * len(terms) * N) // L AS m FROM docs, total WHERE len(terms) > 0
+), gain AS (
+  SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS g
+  FROM found JOIN weight USING (term) JOIN norm USING (r)
+), scored AS (
+  SELECT item_id, r, CAST(sum(g) AS BIGINT) AS score FROM gain JOIN wanted USING (term)
+  GROUP BY item_id, r HAVING sum(g) > 0
+)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score
+FROM scored JOIN norm USING (r)
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, did)
+QUALIFY row_number() OVER best <= 10
+"""
+
+# SHA-1 is 32 groups of five bits, cut out of its 40 hexadecimal digits.
+_OP12 = r"""
+WITH digests AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
+         array_to_string(list_transform(range(1, 41), lambda i:
+           ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111',
+            '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][
+             strpos('0123456789abcdef', substr(sha1(coalesce(html, '')), i, 1))]), '') AS bits
+  FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY sha256(html), strlen(html)) AS first FROM digests
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
+      + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
+      + CAST(substr(bits, 5 * i + 5, 1) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to, url
+FROM firsts
+"""
+
 ORACLES = {
     "op1_chat_format": _OP1,
     "op2_quality_rules": _OP2,
     "op7_nearest": _OP7,
     "op9_substring_dedup": _OP9,
+    "op11_lexical_search": _OP11,
+    "op12_warc": _OP12,
 }
