@@ -82,6 +82,17 @@ def keyed(documents: DataFrame) -> DataFrame:
     return documents.select(*key_columns(), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def whole_row(columns: list[str]) -> Column:
+    """These columns as one struct, whatever their names hold."""
+    quoted = ["`" + c.replace("`", "``") + "`" for c in columns]
+    return F.struct(*[F.col(q).alias(c) for q, c in zip(quoted, columns)])
+
+
+def of_row(struct: str, column: str) -> Column:
+    """A column of a struct, whatever its name holds."""
+    return F.col(struct).getField(column).alias(column)
+
+
 def public_id(col: str = "did") -> Column:
     """The doc_id that ``keyed`` replaced: NULL again where it was."""
     return F.when(F.col(col) != F.lit(NO_ID), F.col(col))

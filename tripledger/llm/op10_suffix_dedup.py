@@ -425,7 +425,7 @@ def cut_texts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     _, spans = repeated_spans(documents, length)
     others = [c for c in documents.columns if c != "text"]
-    rows = documents.select(*frames.key_columns(), F.col("text"), F.struct(*others).alias("other"))
+    rows = documents.select(*frames.key_columns(), F.col("text"), frames.whole_row(others).alias("other"))
     joined = rows.join(spans, ["did", "rid"], "left").select("text", "spans", "other")
 
     def run(batches):
@@ -443,7 +443,7 @@ def cut_texts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     schema = T.StructType([joined.schema["text"], T.StructField("changed", T.BooleanType()),
                            joined.schema["other"]])
     cut = joined.mapInArrow(run, schema)
-    columns = {c: F.col(f"other.`{c}`") for c in others} | {"text": F.col("text")}
+    columns = {c: frames.of_row("other", c) for c in others} | {"text": F.col("text")}
     if "n_chars" in columns:
         columns["n_chars"] = F.when(F.col("changed"), F.length("text").cast(
             documents.schema["n_chars"].dataType)).otherwise(columns["n_chars"])

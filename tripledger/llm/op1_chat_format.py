@@ -54,8 +54,8 @@ def _escape_role(role: Column) -> Column:
 
 def _unescape_role(role: Column) -> Column:
     # Pairs are read from the left, so an escaped backslash before an n stays one.
-    plain = F.replace(unescape(role), F.lit("\\\\"), F.lit("\x00"))
-    return F.replace(F.replace(plain, F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
+    parts = F.split(unescape(role), r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def fold_events(events: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripledger.llm import frames
+
 SPACES = r"[\x20\x09-\x0D]+"
 A_WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -88,7 +90,7 @@ def ledger(documents: DataFrame, carry: bool = False) -> DataFrame:
     With ``carry`` the row as given comes along as the struct ``carried``.
     """
     zero = F.lit(0).cast("long")
-    whole = [F.struct(*documents.columns).alias("carried")] if carry else []
+    whole = [frames.whole_row(documents.columns).alias("carried")] if carry else []
     carried = ["carried"] if carry else []
     split = (
         documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *whole)

@@ -274,7 +274,7 @@ def score(documents: DataFrame, field: Field | None, threshold: float = THRESHOL
                 names=["doc_id", *batch.schema.names[2:], "score"])
 
     given = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                             *([F.struct(*documents.columns).alias("carried")] if carry else []))
+                             *([frames.whole_row(documents.columns).alias("carried")] if carry else []))
     schema = T.StructType([f for f in given.schema if f.name != "text"]
                           + [T.StructField("score", T.DoubleType())])
     scored = given.mapInArrow(run, schema)
