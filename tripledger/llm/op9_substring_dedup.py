@@ -12,8 +12,8 @@ target window can only repeat if its chosen short window does.  On the later
 levels a window's length doubles from there (the last is the target) and every
 candidate window is tested.
 
-At the target length a window is two independent 64-bit hashes, 128 bits; the
-smallest doc_id per window decides.  Equal windows of one Arrow batch are
+At the target length a window is two independent 64-bit hashes of its words'
+bytes, 128 bits; the smallest doc_id per window decides.  Equal windows of one Arrow batch are
 settled inside the task, so a passage that a third of all documents share
 costs one row per batch.
 
@@ -53,8 +53,8 @@ class _Windows:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, longest: int):
         self.starts, self.ends, self.first = tb.words(data, offsets)
-        word = tb.span_hash(tb.prefix_hash(data), self.starts, self.ends)
-        self.word = word
+        self.data = data
+        self.word = tb.word_hash(data, self.starts, self.ends)
         self.factor = tb._random_longs(2 * longest, "window")
         self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
 
@@ -64,7 +64,7 @@ class _Windows:
         if n <= 0:
             return np.zeros(0, np.uint64)
         out = np.zeros(n, np.uint64)
-        word = tb.mix(self.word ^ np.uint64(0x2545F4914F6CDD1D)) if other else self.word
+        word = tb.word_hash(self.data, self.starts, self.ends, 1) if other else self.word
         shift = len(self.factor) // 2 if other else 0
         for j in range(length):
             out += word[j:j + n] * self.factor[shift + j]

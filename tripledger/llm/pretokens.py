@@ -112,14 +112,14 @@ class PretokenTable:
     """What each distinct pre-token stands for, worked out once per worker.
 
     ``work(word)`` gives a tuple of facets.  Pre-tokens cut in numpy are known
-    by a 64-bit hash, others by their text; either part starts anew when it
-    holds ``limit`` entries, which bounds both the memory (some 350 bytes an
-    entry) and the odds of two equal hashes (under 1e-7 for a full table).
+    by a 64-bit hash and their bytes, which are compared on every hit, others
+    by their text; either part starts anew when it holds ``limit`` entries,
+    which bounds the memory (some 400 bytes an entry).
     """
 
     def __init__(self, vocabulary: Vocabulary, work, limit: int = 800_000):
         self.vocabulary, self.work, self.limit = vocabulary, work, limit
-        self.by_hash: dict[int, tuple] = {}
+        self.by_hash: dict[int, tuple[bytes, tuple]] = {}
         self.by_word: dict[object, tuple] = {}
 
     def word(self, word) -> tuple:
@@ -136,8 +136,12 @@ class PretokenTable:
                     part.clear()
             plain = plain_rows(data, offsets)
             low, starts, ends, first = cut_plain(data, offsets)
-            hashes = tb.span_hash(tb.prefix_hash(low), starts, ends)
+            hashes = tb.word_hash(low, starts, ends)
             distinct, sample, place = np.unique(hashes, return_index=True, return_inverse=True)
+            size, twin = ends - starts, sample[place]
+            equal = size == size[twin]
+            equal[equal] = tb.same_spans(low, starts[equal], starts[twin[equal]], size[equal])
+            strays = np.flatnonzero(~equal)  # of equal hash, but other bytes than the sample
             used = np.zeros(len(distinct), bool)
             for row in np.flatnonzero(plain):
                 used[place[first[row]:first[row + 1]]] = True
@@ -145,14 +149,18 @@ class PretokenTable:
             raw, known = low.tobytes(), self.by_hash
             for i in np.flatnonzero(used).tolist():
                 key = int(distinct[i])
+                own = raw[starts[sample[i]]:ends[sample[i]]]
                 found = known.get(key)
                 if found is None:
-                    at = sample[i]
-                    found = known[key] = self.work(raw[starts[at]:ends[at]].decode("utf-8"))
-                facets[i] = found
+                    found = known[key] = own, self.work(own.decode("utf-8"))
+                facets[i] = found[1] if found[0] == own else self.word(own.decode("utf-8"))
             for row in range(len(offsets) - 1):
                 if plain[row]:
-                    yield facets[place[first[row]:first[row + 1]]].tolist()
+                    a, b = first[row], first[row + 1]
+                    out = facets[place[a:b]].tolist()
+                    for i in strays[np.searchsorted(strays, a):np.searchsorted(strays, b)]:
+                        out[i - a] = self.word(raw[starts[i]:ends[i]].decode("utf-8"))
+                    yield out
                 else:
                     text = bytes(data[offsets[row]:offsets[row + 1]]).decode("utf-8")
                     yield [self.word(w) for w in cut_any(text, self.vocabulary)]

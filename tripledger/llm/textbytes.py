@@ -103,8 +103,59 @@ def words(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one number (zeros past the end)."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # masks of k bytes
+_LONG = 1 << 14  # spans from here on are hashed one by one
+
+
+def word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each span's bytes; other seeds give independent hashes.
+
+    Eight bytes at a time are mixed into the state, which no sum of parts can
+    undo: texts built to agree in a polynomial hash do not agree in this one.
+    """
+    key = _random_longs(2, f"word-hash {seed}")
+    left = ends - starts
+    out = mix(left.astype(np.uint64) * key[0] + key[1])
+    eights, live, at = _eights(data), None, starts
+    while True:
+        if live is None:
+            live = np.flatnonzero((left > 0) & (left < _LONG))
+        else:
+            live = live[left[live] > 0]
+        if not len(live):
+            break
+        part = eights[at[live]] & _LOW[np.minimum(left[live], 8)]
+        out[live] = mix((out[live] ^ part) * key[0]) + key[1]
+        at, left = at + 8, left - 8
+    for i in np.flatnonzero(ends - starts >= _LONG).tolist():
+        out[i] = np.frombuffer(hashlib.blake2b(
+            data[starts[i]:ends[i]].tobytes(), digest_size=8, salt=b"%d" % seed).digest(), "<u8")[0]
+    return out
+
+
+def same_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether the spans of these lengths starting at ``a`` and ``b`` hold equal bytes."""
+    out = np.ones(len(a), bool)
+    eights, live, done = _eights(data), np.flatnonzero((lengths > 0) & (a != b)), 0
+    while len(live):
+        differ = (eights[a[live] + done] ^ eights[b[live] + done]) & _LOW[
+            np.minimum(lengths[live] - done, 8)]
+        out[live[differ != 0]] = False
+        done += 8
+        live = live[(differ == 0) & (lengths[live] > done)]
+    return out
+
+
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Running polynomial hash: any span's hash is one difference away."""
+    """Running polynomial hash: any span's hash is one difference away.
+
+    For features and samples only: texts can be built that agree in it."""
     power, _ = powers(len(data))
     out = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_VALUE[data] * power[:len(data)], out=out[1:])
