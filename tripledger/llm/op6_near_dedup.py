@@ -17,10 +17,11 @@
 5. Connected components of the confirmed links, by alternating large-star and
    small-star, are the classes.
 
-Band sizes: 30 bands of 6 minima miss a pair of similarity 0.85 with odds of
-(1 - 0.85^6)^30 < 1e-6, and tie one of 0.3 with odds of 0.02.  The signature
-test drops pairs with under ``threshold - 0.2`` equal minima: 7 standard
-deviations away.
+Band sizes: bands of 6 minima, as many as miss a pair at the threshold s with
+odds (1 - s^6)^bands of at most 1e-6: 30 at 0.85, 46 at 0.80; 30 tie a pair of
+0.3 with odds of 0.02.  The signature test drops pairs with under ``threshold -
+0.2`` equal minima: 6 standard deviations away.  A shingle is a 64-bit hash of
+its words' bytes.
 
 Defined results: NULL or empty text, or text without words, has an empty set
 and is linked with nothing; with fewer words than the shingle size, the whole
@@ -31,6 +32,8 @@ rows; other input columns are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,25 +45,33 @@ from tripledger.llm.components import components
 from tripledger.llm.frames import release, stage
 
 SHINGLE = 5
-BANDS, ROWS = 30, 6
+ROWS = 6  # minima of a band
+MISS = 1e-6  # odds at most of tying no band of a pair at the threshold
 BLOCK = 512  # documents of a group that one task compares at once
 MARGIN = 0.2
 SALTS = 64  # parts that a class of equal sets is dealt over
 CENTRES = 3  # rounds of comparing a large group with a central document
+FEW = 1 << 20  # candidate rows (three longs each) that may be broadcast
 
 _FACTOR = tb._random_longs(SHINGLE + 64, "shingle")
-_A = (tb._random_longs(BANDS * ROWS, "minhash-a") >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_B = (tb._random_longs(BANDS * ROWS, "minhash-b") >> np.uint64(32)).astype(np.uint32)
+_A = (tb._random_longs(200 * ROWS, "minhash-a") >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_B = (tb._random_longs(200 * ROWS, "minhash-b") >> np.uint64(32)).astype(np.uint32)
 _DIGEST = ["n_shingles", "one", "two"]
 _NONE = np.zeros(0, np.uint64)
 
 
+def bands_for(percent: int) -> int:
+    """Bands that a similarity of ``percent`` needs."""
+    tied = (percent / 100) ** ROWS
+    return 1 if tied >= 1 else min(200, math.ceil(math.log(MISS) / math.log(1 - tied)))
+
+
 def shingle_sets(column, size: int = SHINGLE):
     """Per row of an Arrow string column: the sorted distinct shingle hashes."""
     for _, _, data, offsets in tb.chunks(column):
         low = tb.LOWER[data]
         starts, ends, first = tb.words(low, offsets)
-        word = tb.span_hash(tb.prefix_hash(low), starts, ends)
+        word = tb.word_hash(low, starts, ends)
         n = len(word) - size + 1
         if n > 0:
             window = np.zeros(n, np.uint64)
@@ -77,25 +88,26 @@ def shingle_sets(column, size: int = SHINGLE):
                 yield _NONE
 
 
-def minhash(members: np.ndarray) -> np.ndarray:
+def minhash(members: np.ndarray, bands: int) -> np.ndarray:
     """The minima of the universal hash functions a * x + b over a set."""
     x = (members >> np.uint64(32)).astype(np.uint32)
-    out = np.full(len(_A), np.uint32(0xFFFFFFFF))
+    n = bands * ROWS
+    out = np.full(n, np.uint32(0xFFFFFFFF))
     for i in range(0, len(x), 2048):
-        block = _A[:, None] * x[None, i:i + 2048] + _B[:, None]
+        block = _A[:n, None] * x[None, i:i + 2048] + _B[:n, None]
         np.minimum(out, block.min(axis=1), out=out)
     return out
 
 
 def _band_keys(signature: np.ndarray) -> np.ndarray:
-    rows = signature.reshape(BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rows = signature.reshape(-1, ROWS).astype(np.uint64)
+    key = np.arange(1, len(rows) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for j in range(ROWS):
         key = tb.mix(key ^ rows[:, j])
     return key.view(np.int64)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, n_bands: int) -> DataFrame:
     """did, rid, n_shingles, set digest (two longs), band keys of each row."""
     def run(batches):
         for batch in batches:
@@ -105,7 +117,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 ones.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                 twos.append(int(tb.mix(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64)
                                 .view(np.int64)))
-                bands.append(_band_keys(minhash(s)) if len(s) else None)
+                bands.append(_band_keys(minhash(s, n_bands)) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                  pa.array(ones, pa.int64()), pa.array(twos, pa.int64()),
@@ -116,14 +128,14 @@ def signatures(docs: DataFrame) -> DataFrame:
         run, "did long, rid long, n_shingles long, one long, two long, bands array<long>")
 
 
-def _full_sets(docs: DataFrame) -> DataFrame:
+def _full_sets(docs: DataFrame, n_bands: int) -> DataFrame:
     """did, rid, grp, signature and set of candidate rows, as bytes."""
     def run(batches):
         for batch in batches:
             sets = list(shingle_sets(batch.column(2)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(3),
-                 pa.array([minhash(s).tobytes() for s in sets], pa.binary()),
+                 pa.array([minhash(s, n_bands).tobytes() for s in sets], pa.binary()),
                  pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["did", "rid", "grp", "sig", "members"])
 
@@ -235,7 +247,7 @@ def confirm_links(members: DataFrame, degrees: DataFrame, percent: int,
         rest = large.join(_open(large, block).select("grp", "lo"), "grp")
         if tried is not None:
             rest = rest.join(tried, ["grp", "rid"], "left_anti")
-        order = F.struct(F.coalesce("degree", F.lit(0)), -F.col("did"), "rid")
+        order = F.struct(F.coalesce("degree", F.lit(0)), F.bitwise_not("did"), "rid")
         centre = rest.groupBy("grp").agg(F.max_by(
             F.struct("rid", "did", "part", "sig", "members"), order).alias("centre"))
         centre = stage(centre, "centres")
@@ -247,7 +259,7 @@ def confirm_links(members: DataFrame, degrees: DataFrame, percent: int,
             "grp", "part", F.col("centre.part").alias("c_part"))
 
         def against(batches):
-            least = (percent / 100 - MARGIN) * len(_A)
+            least = (percent / 100 - MARGIN) * bands_for(percent) * ROWS
             for batch in batches:
                 linked = []
                 cols = [batch.column(i) for i in range(6)]
@@ -315,7 +327,8 @@ def _equal_sets(filled: DataFrame) -> DataFrame:
 def near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, n_links_found of every row."""
     docs = frames.keyed(documents)
-    rows = stage(signatures(docs), "signatures")
+    n_bands = bands_for(percent)
+    rows = stage(signatures(docs, n_bands), "signatures")
 
     filled = rows.where("n_shingles > 0").withColumn(
         "salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)))
@@ -339,13 +352,15 @@ def near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
     groups = stage(components(tied, "did", "first").withColumnsRenamed(
         {"node": "did", "component": "grp"}), "groups")
 
-    candidates = docs.join(groups, "did").join(head.withColumn("head", F.lit(True)),
-                                               ["did", "rid"], "left_semi")
-    members = stage(_full_sets(candidates), "members")
+    # Ids first: texts meet the few candidates at hand, not every class's first row.
+    wanted = stage(head.join(groups, "did"), "candidates")
+    few = wanted.count() <= FEW
+    members = stage(_full_sets(docs.join(F.broadcast(wanted) if few else wanted, ["did", "rid"]),
+                               n_bands), "members")
     links = confirm_links(members, degrees, percent).union(copies)
     found = stage(components(links).withColumnsRenamed(
         {"node": "did", "component": "component"}), "classes")
-    release(members)
+    release(members, wanted, tied, groups, classes)
     component = F.coalesce("component", "did")
     return rows.select("did", "n_shingles").join(found, "did", "left").select(
         frames.public_id().alias("doc_id"), "n_shingles",
