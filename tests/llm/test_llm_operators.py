@@ -429,7 +429,7 @@ def test_pipeline_stages(spark, tmp_path):
             assert after.columns == given.columns
         if name == "near_dedup":
             rows = [(r["doc_id"], r["text"], None) for r in docs.collect()]
-            roots, _ = _classes(rows, 85)
+            roots, _ = _classes(rows, corpus_pipeline.SIMILARITY)
             assert sorted(r["doc_id"] for r in after.collect()) == sorted(d for d in roots if roots[d] == d)
         if name == "suffix_dedup":
             texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in after.collect()}
