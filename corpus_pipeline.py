@@ -7,7 +7,7 @@ take effect; all but the last return the columns of the documents given.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.llm import frames
@@ -18,43 +18,81 @@ from tripledger.llm.op6_near_dedup import near_duplicates
 from tripledger.llm.op8_bpe import vocabulary_path
 from tripledger.llm.op10_suffix_dedup import cut_texts
 
-SIMILARITY = 85  # percent
+SIMILARITY = 80  # percent
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the standard policy keeps."""
     judged = apply_policy(ledger(docs, carry=True))
-    return judged.where("kept").select(*[F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
+    return judged.where("kept").select(*[frames.of_row("carried", c) for c in docs.columns])
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the rows at hand, predicts good."""
     field = train(docs, frames.table(spark, sf_dir, "labels"))
     return score(docs, field, carry=True).where("predicted = 1").select(
-        *[F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
+        *[frames.of_row("carried", c) for c in docs.columns])
+
+
+def _row_hash() -> Column:
+    """A row's number, as long as no other row has the same."""
+    return frames.key_columns()[1]
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """did, one, two, n, rid of the distinct rows, no two of one rid; a stored stage.
+
+    A row is known by doc_id and two independent 64-bit hashes of its text; rid
+    is the first of them, and a new one for rows that share it by chance.
+    """
+    ids = frames.stage(docs.select(*_row_key()).groupBy("did", "one", "two").agg(
+        F.count(F.lit(1)).alias("n")).withColumn("rid", F.col("one")), "row-ids")
+    turn = 0
+    while True:
+        shared = ids.groupBy("rid").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(
+            "rid", F.lit(True).alias("shared"))
+        if shared.isEmpty():
+            return ids
+        turn += 1
+        before, ids = ids, frames.stage(ids.join(shared, "rid", "left").select(
+            "did", "one", "two", "n", F.when(F.col("shared"), F.xxhash64(
+                F.lit(turn), "did", "one", "two")).otherwise(F.col("rid")).alias("rid")), "row-ids")
+        frames.release(before)
+
+
+def _row_key() -> list[Column]:
+    did = frames.key_columns()[0]
+    return [did, _row_hash().alias("one"),
+            F.xxhash64(F.lit("two"), did, F.coalesce("text", F.lit(""))).alias("two")]
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate class: the one of smallest doc_id.
 
-    Rows that differ in doc_id or text (by a 64-bit hash of both) are documents
-    of their own, NULL the smallest doc_id; rows equal in both are one document,
-    of which one row stays, with or without words.
+    Rows that differ in doc_id or text are documents of their own, NULL the
+    smallest doc_id; rows equal in both are one document, of which one row
+    stays, with or without words.
     """
-    did, rid = frames.key_columns()
-    found = near_duplicates(docs.select(rid.alias("doc_id"), "text"), SIMILARITY).select(
+    key = ["did", "one", "two"]
+    ids = _numbered(docs)
+    renamed = ids.where("rid != one").select(*key, "rid")
+    texts = docs.select(*_row_key(), "text")
+    if renamed.isEmpty():
+        texts = texts.withColumn("rid", F.col("one"))
+    else:
+        texts = texts.join(renamed, key, "left").withColumn("rid", F.coalesce("rid", "one"))
+    found = near_duplicates(texts.select(F.col("rid").alias("doc_id"), "text"), SIMILARITY).select(
         F.col("doc_id").alias("rid"), F.col("component_id").alias("class")).distinct()
-    keys = docs.select(did, rid).groupBy("did", "rid").agg(F.count(F.lit(1)).alias("n"))
-    classes = frames.stage(keys.join(found, "rid"), "row-classes")
-    kept = classes.groupBy("class").agg(F.min(F.struct("did", "rid")).alias("first")).select(
-        "first.rid")
-    rows = docs.select(rid, F.struct("*").alias("row"))
-    left = rows.join(classes.join(kept, "rid", "left_anti").select("rid"), "rid", "left_anti")
-    repeated = classes.where("n > 1").select("rid")
+    classes = frames.stage(ids.join(found, "rid"), "row-classes")
+    frames.release(ids)
+    kept = classes.groupBy("class").agg(F.min(F.struct(*key)).alias("first")).select("first.*")
+    rows = docs.select(*_row_key(), frames.whole_row(docs.columns).alias("row"))
+    left = rows.join(classes.join(kept, key, "left_anti").select(*key), key, "left_anti")
+    repeated = classes.where("n > 1").select(*key)
     if not repeated.isEmpty():
-        left = left.join(repeated, "rid", "left_anti").union(
-            left.join(repeated, "rid", "left_semi").dropDuplicates(["rid"]))
-    return left.select("row.*")
+        left = left.join(repeated, key, "left_anti").union(
+            left.join(repeated, key, "left_semi").dropDuplicates(key))
+    return left.select(*[frames.of_row("row", c) for c in docs.columns])
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
