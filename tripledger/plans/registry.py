@@ -444,14 +444,13 @@ def partition_overwrite(spark, sf_dir):
 
 @register("load_history")
 def load_history(spark, sf_dir):
-    """Rows per load of two periods, one of them reloaded, read
+    """Rows per load of every period, one of them reloaded, read
     back from the load history."""
     paths = _landing(spark, sf_dir)
     t = _tables()
-    chosen = {p: paths[p] for p in (SCOPE.first, FOCUS)}
-    MD.assert_complete(MD.build_bronze(spark, chosen, t))
+    MD.load_bronze_all(spark, paths, t)
     MD.load_bronze_period(spark, paths[FOCUS], FOCUS, t)
-    return MD.W.load_history(spark, t.history).select("partition_value", "rows")
+    return MD.W.load_history(spark, t.bronze).select("partition_value", "rows")
 
 
 @register("medallion_roundtrip")

@@ -1,34 +1,40 @@
-"""Catalog tables: namespaces, idempotent partition overwrite, rebuilds,
-load history and comments.
-
-Tables are Parquet tables in the session catalog, stored under the shared
-work folder (``spark.checkpoint.dir``) so every executor of a cluster writes
-to the same place.  Row counts of a write come from an ``Observation`` on the
-written plan, not from a second scan of the table.
-
-Partition overwrite is ``INSERT OVERWRITE TABLE t PARTITION (p) SELECT ...``
-in dynamic mode: the new files are staged and only the partitions present in
-the data are swapped in at commit, so other partitions are never touched and a
-failed job changes nothing.  (On Parquet tables the writer-level overwrite
-modes wipe other partitions, and a static-partition overwrite deletes the old
-partition before the job runs.)
+"""Catalog tables: namespaces, all-or-nothing commits, load history, comments.
+
+A table is a view over a Parquet table that holds its files, under the shared
+work folder (``spark.checkpoint.dir``).  Every write stages its rows in a
+partition folder of their own (``_load=<id>``), which no reader sees, and is
+published by replacing the view: one catalog statement changes, together,
+which partitions were written and which emptied, the schema and the load
+history.  A failure before it changes nothing, and a write may read the table
+that it replaces.
+
+What a commit publishes is its manifest, one small JSON file that the view
+names: the live load of each partition, the history, and counts per partition
+(``marks``) that serve as an index for later refreshes.  The view itself lists
+the live (load, partition) pairs as literals, so a filter on the partition
+column prunes folders as it would on a plain table.
+
+The driver holds one entry per live partition, load record and mark, never
+rows.  One writer per table at a time is assumed.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import re
-import threading
 import uuid
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.session import work_root
 
-_OVERWRITE_MODE_LOCK = threading.Lock()
-
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
+LOAD = "_load"  # partition column of the staged files, hidden from readers
+_MANIFEST = "tripledger.manifest"
+HISTORY_SCHEMA = "table_name string, partition_value string, rows long, written_at timestamp"
 
 
 def _check_ident(name: str) -> str:
@@ -59,65 +65,186 @@ def ensure_namespaces(spark: SparkSession, names: tuple[str, ...]) -> None:
         )
 
 
+def list_namespaces(spark: SparkSession, pattern: str = "*") -> list[str]:
+    """The databases of the catalog whose name matches ``pattern``."""
+    return sorted(r[0] for r in spark.sql(
+        f"SHOW DATABASES LIKE {_quote_literal(pattern)}").collect())
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     """W9."""
     return spark.catalog.tableExists(table)
 
 
-def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(label)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
-def replace_partitions(spark: SparkSession, df: DataFrame, table: str,
-                       partition_col: str, values: list[str | None]) -> int:
+@dataclass
+class Manifest:
+    """What one commit publishes."""
+
+    base: str  # catalog table of the files
+    columns: list[str]  # as readers see them, the partition column last
+    partition_col: str | None
+    live: list[list] = field(default_factory=list)  # [partition value, load]
+    marks: list[list] = field(default_factory=list)  # [partition value, mark, rows]
+    history: list[list] = field(default_factory=list)  # [partition value, rows, time]
+    comment: str | None = None
+
+    def marks_of(self, values) -> dict[str | None, int]:
+        """Rows per mark in these partitions."""
+        out: dict[str | None, int] = {}
+        for value, mark, rows in self.marks:
+            if value in values:
+                out[mark] = out.get(mark, 0) + rows
+        return out
+
+    def values_with(self, marks) -> set[str | None]:
+        """Partitions that hold rows of one of these marks."""
+        return {value for value, mark, rows in self.marks if mark in marks}
+
+
+def manifest(spark: SparkSession, table: str) -> Manifest | None:
+    """The published manifest of ``table``, None before its first commit."""
+    if not table_exists(spark, _check_ident(table)):
+        return None
+    found = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if _MANIFEST not in found:
+        raise ValueError(f"{table} exists, but was not written by commits")
+    text = spark.read.text(_manifest_path(spark, found[_MANIFEST]), wholetext=True).first()[0]
+    return Manifest(**json.loads(text))
+
+
+def _manifest_path(spark: SparkSession, number: str) -> str:
+    # Views name a manifest by number: Spark hides property values that look like
+    # a secret or a URL, as a path may.
+    return f"{work_root(spark)}/tripledger/manifests/{number}"
+
+
+def _live_rows(state: Manifest) -> str:
+    """SQL condition for the rows of the live (load, partition) pairs."""
+    if state.partition_col is None:
+        return " OR ".join(f"{LOAD} = {_quote_literal(load)}" for _, load in state.live) or "false"
+    by_load: dict[str, list] = {}
+    for value, load in state.live:
+        by_load.setdefault(load, []).append(value)
+    col, parts = f"`{state.partition_col}`", []
+    for load, values in sorted(by_load.items()):
+        named = ", ".join(_quote_literal(v) for v in sorted(v for v in values if v is not None))
+        either = [f"{col} IN ({named})"] * bool(named) + [f"{col} IS NULL"] * (None in values)
+        parts.append(f"({LOAD} = {_quote_literal(load)} AND ({' OR '.join(either)}))")
+    return " OR ".join(parts) or "false"
+
+
+def _publish(spark: SparkSession, table: str, state: Manifest) -> None:
+    """Make ``state`` what readers of ``table`` see: the one step that counts."""
+    number = uuid.uuid4().hex
+    spark.createDataFrame([(json.dumps(asdict(state)),)], "value string").coalesce(
+        1).write.text(_manifest_path(spark, number))
+    columns = ", ".join(f"`{c}`" for c in state.columns)
+    comment = f"COMMENT {_quote_literal(state.comment)} " if state.comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {table} {comment}"
+              f"TBLPROPERTIES ('{_MANIFEST}' = {_quote_literal(number)}) "
+              f"AS SELECT {columns} FROM {state.base} WHERE {_live_rows(state)}")
+
+
+def _stage(spark: SparkSession, df: DataFrame, base: str, load: str,
+           partition_col: str | None) -> None:
+    """Write ``df`` as load ``load`` of ``base`` (created if missing); nobody reads it yet."""
+    parts = [LOAD] + ([partition_col] if partition_col else [])
+    rows = df.withColumn(LOAD, F.lit(load)).select(
+        *[c for c in df.columns if c != partition_col], *parts)
+    if table_exists(spark, base):
+        rows.write.insertInto(base)
+    else:
+        (rows.write.format("parquet").partitionBy(*parts)
+         .option("path", table_location(spark, base)).saveAsTable(base))
+
+
+def _staged_counts(spark: SparkSession, base: str, load: str, partition_col: str | None,
+                   marks: Column | None) -> list[list]:
+    """[partition value, mark, rows] of a staged load: reads footers, and the mark's columns."""
+    value = F.col(partition_col) if partition_col else F.lit(None).cast("string")
+    mark = marks if marks is not None else F.lit(None)
+    return [list(r) for r in spark.table(base).where(F.col(LOAD) == load).groupBy(
+        value.alias("value"), mark.cast("string").alias("mark")).count().collect()]
+
+
+def _drop_files(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def commit(spark: SparkSession, df: DataFrame, table: str, partition_col: str | None = None,
+           replaces: list[str | None] | str = "all", marks: Column | None = None,
+           comment: str | None = None) -> list[list]:
+    """Stage ``df`` and publish it in one step; [partition value, mark, rows] written.
+
+    ``replaces`` names the partitions that hold exactly the rows of ``df``
+    afterwards (possibly none; a row outside them fails the job): a list of
+    values, None standing for rows without a value; ``"present"`` for those
+    that ``df`` has rows of; ``"all"`` for the whole table, schema included,
+    whose old files go once the new ones are published.  ``marks`` is an
+    expression whose rows are counted per partition, for :func:`manifest`.
+    """
+    _check_ident(table)
+    if partition_col is not None:
+        _check_ident(partition_col)
+    if not [c for c in df.columns if c != partition_col]:
+        raise ValueError("nothing to write besides the partition column")
+    before = manifest(spark, table)
+    load = uuid.uuid4().hex[:12]
+    columns = [c for c in df.columns if c != partition_col] + ([partition_col] if partition_col else [])
+    fresh = before is None or replaces == "all"
+    base = f"{table}__{load}" if fresh else before.base
+    if not fresh:
+        if (sorted(before.columns), before.partition_col) != (sorted(columns), partition_col):
+            raise ValueError(f"columns of {table} differ from the input: "
+                             f"{sorted(set(before.columns) ^ set(columns))}")
+        columns = before.columns
+        df = df.select(*columns)
+    if isinstance(replaces, list):
+        value, named = F.col(partition_col), [v for v in replaces if v is not None]
+        df = df.withColumn(partition_col, F.when(
+            value.isin(*named) | (F.lit(None in replaces) & value.isNull()), value).otherwise(
+            F.raise_error(F.concat(
+                F.lit(f"row outside partitions {partition_col} in {replaces}: "),
+                F.coalesce(value.cast("string"), F.lit("NULL"))))))
+    _stage(spark, df, base, load, partition_col)
+    counts = _staged_counts(spark, base, load, partition_col, marks)
+
+    written: dict[str | None, int] = {}
+    for value, _, rows in counts:
+        written[value] = written.get(value, 0) + rows
+    # Nothing of an emptied partition is staged: it only leaves the live list.
+    gone = set(replaces) if isinstance(replaces, list) else set(written)
+    old = Manifest(base, columns, partition_col) if before is None else before
+    keep = (lambda value: value not in gone) if not fresh else (lambda value: False)
+    now = _dt.datetime.now(_dt.timezone.utc).isoformat()
+    loaded = sorted(gone | set(written), key=lambda v: (v is None, v or "")) or [None]
+    state = Manifest(
+        base, columns, partition_col,
+        [x for x in old.live if keep(x[0])] + [[v, load] for v in written],
+        [x for x in old.marks if keep(x[0])] + (counts if marks is not None else []),
+        old.history + [[v, written.get(v, 0), now] for v in loaded],
+        comment if comment is not None else old.comment)
+    _publish(spark, table, state)
+    if fresh and before is not None:  # the old snapshot was readable up to here
+        spark.sql(f"DROP TABLE IF EXISTS {before.base}")
+        _drop_files(spark, table_location(spark, before.base))
+    return counts
+
+
+def _total(counts: list[list]) -> int:
+    return sum(rows for _, _, rows in counts)
+
+
+def replace_partitions(spark: SparkSession, df: DataFrame, table: str, partition_col: str,
+                       values: list[str | None], marks: Column | None = None,
+                       comment: str | None = None) -> int:
     """W1 for a known set of partitions: afterwards, partition ``v`` of
     ``table`` holds exactly the rows of ``df`` with ``partition_col == v``,
     for every ``v`` in ``values`` (possibly none), and nothing else changed.
-    None stands for the partition of the rows without a value.
-
-    One staged write: a row outside ``values`` fails the job (checked in the
-    same scan), the new files are swapped in at commit so a job that fails up
-    to then changes nothing.  Values that received no rows (seen through an
-    observation on the write, not a second pass) are emptied afterwards, one
-    statement each: a failure between the two steps leaves those as they were.
-    Returns the rows written."""
-    _check_ident(table)
-    _check_ident(partition_col)
-    values = sorted(set(values), key=lambda v: (v is None, v or ""))
-    named = [v for v in values if v is not None]
-    other = [c for c in df.columns if c != partition_col]
-    if not other:
-        raise ValueError("nothing to write besides the partition column")
-    pcol = F.col(partition_col)
-    guarded = df.select(
-        *other,
-        F.when(pcol.isin(*named) | (F.lit(None in values) & pcol.isNull()), pcol)
-        .otherwise(F.raise_error(F.concat(F.lit(f"row outside partitions {partition_col} in "
-                                                f"{values}: "), F.coalesce(pcol, F.lit("NULL")))))
-        .alias(partition_col),
-    )
-    seen_obs = Observation(f"seen_{table}".replace(".", "_"))
-    guarded = guarded.observe(seen_obs, F.collect_set(partition_col).alias("seen"),
-                              F.max(pcol.isNull()).alias("seen_null"))
-    rows = overwrite_partitions(spark, guarded, table, partition_col)
-    seen = set(seen_obs.get.get("seen") or [])
-    if seen_obs.get.get("seen_null"):
-        seen.add(None)
-    if table_exists(spark, table):
-        cols = [c for c in spark.table(table).columns if c != partition_col]
-        for value in values:
-            if value in seen:
-                continue
-            # Nothing was staged for it, so nothing replaced it: empty it.
-            view = f"_tl_empty_{uuid.uuid4().hex[:12]}"
-            df.select(*cols).limit(0).createOrReplaceTempView(view)
-            col_list = ", ".join(f"`{c}`" for c in cols)
-            spark.sql(f"INSERT OVERWRITE TABLE {table} "
-                      f"PARTITION ({partition_col} = {_quote_literal(value)}) "
-                      f"SELECT {col_list} FROM {view}")
-            spark.catalog.dropTempView(view)
-    return rows
+    None stands for the partition of the rows without a value.  One commit;
+    returns the rows written."""
+    return _total(commit(spark, df, table, partition_col, list(values), marks, comment))
 
 
 def overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
@@ -135,77 +262,52 @@ def overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
 def overwrite_partitions(spark: SparkSession, df: DataFrame, table: str,
                          partition_col: str) -> int:
     """W1 for many partitions at once: replace exactly the partitions present
-    in ``df`` (dynamic overwrite), leave all others; returns rows written.
+    in ``df``, leave all others; returns rows written."""
+    return _total(commit(spark, df, table, partition_col, "present"))
 
-    Partitions absent from ``df`` are untouched, so an emptied period needs
-    :func:`overwrite_partition`.  Creates the table on first use."""
-    _check_ident(table)
-    _check_ident(partition_col)
-    other = [c for c in df.columns if c != partition_col]
-    observed, obs = _observed(df, f"write_{table}_dynamic".replace(".", "_"))
-    if not table_exists(spark, table):
-        (observed.select(*other, partition_col).write.format("parquet")
-         .mode("errorifexists").partitionBy(partition_col)
-         .option("path", table_location(spark, table)).saveAsTable(table))
-        return int(obs.get.get("rows", 0))
-    table_cols = [c for c in spark.table(table).columns if c != partition_col]
-    if sorted(table_cols) != sorted(other):
-        raise ValueError(f"columns of {table} differ from the input: "
-                         f"{sorted(set(table_cols) ^ set(other))}")
-    view = f"_tl_src_{uuid.uuid4().hex[:12]}"
-    observed.select(*table_cols, partition_col).createOrReplaceTempView(view)
-    cols = ", ".join(f"`{c}`" for c in [*table_cols, partition_col])
-    key = "spark.sql.sources.partitionOverwriteMode"
-    with _OVERWRITE_MODE_LOCK:  # the mode is a session setting: no interleaving
-        before = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col}) "
-                      f"SELECT {cols} FROM {view}")
-        finally:
-            spark.conf.set(key, before)
-            spark.catalog.dropTempView(view)
-    return int(obs.get.get("rows", 0))
-
-
-def rebuild(spark: SparkSession, df: DataFrame, table: str,
-            partition_by: str | None = None) -> int:
+
+def rebuild(spark: SparkSession, df: DataFrame, table: str, partition_by: str | None = None,
+            comment: str | None = None) -> int:
     """Replace the whole table (schema included); returns rows written.
 
-    ``table`` must not be read by ``df`` (Spark refuses to overwrite a table
-    it is reading; stage under another name for in-place work)."""
-    _check_ident(table)
-    observed, obs = _observed(df, f"rebuild_{table}".replace(".", "_"))
-    writer = observed.write.format("parquet").mode("overwrite").option(
-        "path", table_location(spark, table))
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(table)
-    return int(obs.get.get("rows", 0))
+    The old table stays readable until the new one is published, and ``df``
+    may read it."""
+    return _total(commit(spark, df, table, partition_by, "all", comment=comment))
+
+
+def vacuum(spark: SparkSession, table: str) -> int:
+    """Delete the files that replaced partitions and failed loads left; returns
+    how many partition folders went."""
+    state = manifest(spark, table)
+    live = {(load, value) for value, load in state.live}
+    old = 0
+    for row in spark.sql(f"SHOW PARTITIONS {state.base}").collect():
+        spec = dict(x.split("=", 1) for x in row[0].split("/"))
+        value = spec.get(state.partition_col)
+        value = None if value == "__HIVE_DEFAULT_PARTITION__" else value
+        if (spec[LOAD], value) in live:
+            continue
+        named = ", ".join(f"`{c}` = {_quote_literal(None if v == '__HIVE_DEFAULT_PARTITION__' else v)}"
+                          for c, v in spec.items())
+        spark.sql(f"ALTER TABLE {state.base} DROP IF EXISTS PARTITION ({named})")
+        _drop_files(spark, f"{table_location(spark, state.base)}/{row[0]}")
+        old += 1
+    return old
 
 
 def comment_table(spark: SparkSession, table: str, text: str) -> None:
-    """W7."""
-    spark.sql(f"COMMENT ON TABLE {_check_ident(table)} IS {_quote_literal(text)}")
-
-
-HISTORY_SCHEMA = "table_name string, partition_value string, rows long, written_at timestamp"
-
-
-def record_load(spark: SparkSession, history_table: str, table: str,
-                partition_value: str | None, rows: int) -> None:
-    """Append one record to the append-only load history table."""
-    _check_ident(history_table)
-    rec = spark.createDataFrame(
-        [(table, partition_value, int(rows), _dt.datetime.now(_dt.timezone.utc))], HISTORY_SCHEMA
-    )
-    (rec.coalesce(1).write.format("parquet").mode("append")
-     .option("path", table_location(spark, history_table)).saveAsTable(history_table))
-
-
-def load_history(spark: SparkSession, history_table: str) -> DataFrame:
-    """The load history, latest first."""
-    return spark.table(history_table).orderBy(F.desc("written_at"))
+    """The comment stays through later commits."""
+    state = manifest(spark, table)
+    state.comment = text
+    _publish(spark, table, state)
+
+
+def load_history(spark: SparkSession, table: str) -> DataFrame:
+    """One record per partition and commit of ``table``, latest first."""
+    rows = [(table, value, rows, _dt.datetime.fromisoformat(at))
+            for value, rows, at in manifest(spark, table).history]
+    return spark.createDataFrame(rows, HISTORY_SCHEMA).orderBy(
+        F.desc("written_at"), "partition_value")
 
 
 def describe(spark: SparkSession, table: str) -> DataFrame:

@@ -9,7 +9,7 @@ each micro-batch then
    dynamic overwrite (one scan per schema group),
 2. refreshes silver and quarantine for just the trip months those periods
    touch (:func:`tripledger.plans.medallion.refresh_silver`), and
-3. rebuilds the two small gold tables.
+3. replaces the periods' gold states and merges just those months anew.
 
 Only file *metadata* flows through the stream (path, size, time: the
 ``binaryFile`` source does not read content unless asked), and a micro-batch
@@ -79,16 +79,18 @@ def process_batch(spark: SparkSession, files: DataFrame, scope: Scope, focus_per
             raise ValueError(f"period {pf[0]} is landed in two places: {found[pf[0]]}, {pf[1]}")
     if not found:
         return {"periodos": 0}
-    first_load = not MD.W.table_exists(spark, tables.silver)
+    first_load = not MD.W.table_exists(spark, tables.monthly)
     # One scan per schema group and one dynamic overwrite of exactly the
     # periods seen, however many files the batch holds; any failure fails the
     # batch, which the stream retries from its checkpoint.
     MD.load_bronze_all(spark, found, tables)
     if first_load:
         counts = MD.build_silver(spark, scope, tables)
+        MD.build_gold(spark, focus_period, tables)
     else:
-        counts = MD.refresh_silver(spark, sorted(found), scope, tables)
-    MD.build_gold(spark, focus_period, tables)
+        periods = sorted(found)
+        counts = MD.refresh_silver(spark, periods, scope, tables)
+        MD.refresh_gold(spark, periods, counts["meses"], scope, focus_period, tables)
     return {"periodos": len(found), **counts}
 
 
