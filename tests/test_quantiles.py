@@ -87,3 +87,35 @@ def test_exact_quantiles_on_integer_durations(spark):
     got = exact_quantiles(df, "v", PROBS).collect()[0]
     for name, q in PROBS:
         assert got[name] == brute(values, q), name
+
+
+def test_a_hot_bucket_is_split(spark):
+    """200,000 distinct values of one bucket: the last step holds few of them."""
+    from pyspark.sql import functions as F
+
+    from tripledger.operators import quantiles as Q
+
+    n = 200_000
+    df = spark.range(n).select((F.lit(1000.0) + F.col("id") * 1e-9).alias("v"))
+    counts = Q.value_histogram(df, "v").withColumn("_b", Q.value_bucket(F.col("_v")))
+    assert counts.select("_b").distinct().count() == 1
+    ends = Q._bucket_of_ranks(counts, [], PROBS)
+    for _ in range(Q.LEVELS):
+        ends = Q._narrowed(counts, ends, [])
+    left = Q._values_between(counts, ends, []).groupBy("_name").count().collect()
+    assert {r["_name"] for r in left} == {name for name, _ in PROBS}
+    assert max(r["count"] for r in left) <= 2
+    got = Q.exact_quantiles(df, "v", PROBS).first()
+    values = sorted(r.v for r in df.collect())
+    assert [got[name] for name, _ in PROBS] == [brute(values, q) for _, q in PROBS]
+
+
+def test_quantiles_of_decimals_and_of_nothing(spark):
+    from decimal import Decimal
+
+    values = [Decimal(k) / 100 for k in range(-500, 70000, 37)]
+    df = spark.createDataFrame([(v,) for v in values], "v decimal(12,2)")
+    got = exact_quantiles(df, "v", PROBS).first()
+    assert [got[name] for name, _ in PROBS] == [brute(values, q) for _, q in PROBS]
+    assert list(exact_quantiles(df.where("false"), "v", PROBS).first()) == [None] * len(PROBS)
+    assert exact_quantiles(df.where("false").withColumn("g", df.v), "v", PROBS, ["g"]).count() == 0

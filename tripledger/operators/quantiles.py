@@ -4,20 +4,23 @@
 (1-based, at least 1) among the group's non-NULL values: the smallest value
 with at least a fraction ``q`` of the values at or below it.
 
-It never gathers a group's rows, nor all of a group's distinct values:
+It selects by rank, level by level, and never gathers a group's rows nor all of
+its distinct values, nor those of one bucket:
 
 1. values are counted per (group, value), a combinable aggregate reduced
    map-side, so a hot value or a hot group costs one row per map task;
-2. each distinct value gets an order-preserving *bucket* (:func:`value_bucket`,
-   a fine logarithmic grid: 256 buckets per power of two and sign), and
-   running counts are taken within (group, bucket), so the distinct values of
-   one group are sorted by many tasks in parallel;
-3. bucket totals (at most a few thousand per group for any real measure) are
-   accumulated per group into bucket offsets, and joined back, so that
-   offset + running count is the rank of each distinct value.
-
-The only single-task step of a global (ungrouped) quantile is the running sum
-over bucket totals, whose size is fixed by the grid, not by rows or values.
+2. the counts are added up per *bucket* (:func:`value_bucket`, a fine
+   logarithmic grid: 256 buckets per power of two and sign), with each bucket's
+   least and greatest value.  Running totals over a group's buckets tell which
+   bucket holds a rank;
+3. only the values of those buckets are read again, dealt into ``CELLS`` equal
+   cells between the bucket's extremes, and the cell of the rank found in the
+   same way; then once more inside that cell;
+4. what is left of a bucket are at most some thousand neighbouring doubles,
+   however many values it had; the rank is counted off in them.
+
+Windows run over bucket or cell totals, whose number is fixed by the grid, and
+over the last few values.
 
 ``approx_quantiles`` is ``percentile_approx``: a mergeable sketch with bounded
 memory, used where the original metric is defined that way.
@@ -66,9 +69,10 @@ def value_bucket(v: Column) -> Column:
     return F.coalesce(bucket, F.lit(NULL_BUCKET).cast("long"))
 
 
-# Most buckets a single group can have: both signs of the finite grid plus
-# zero, NaN, the infinities and NULL.  It bounds the ungrouped offset table.
-MAX_BUCKETS = 2 * 2100 * BUCKETS_PER_OCTAVE + 5
+# Cells of each further level.  A bucket spans about 2**43.5 doubles, so after two
+# levels of 2**16 cells each at most some 3,000 neighbouring doubles are left.
+CELLS = 1 << 16
+LEVELS = 2
 
 
 def value_histogram(df: DataFrame, value: str | Column,
@@ -89,59 +93,90 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[tuple[str, f
     return quantiles_from_histogram(value_histogram(df, value, by), probs, by)
 
 
+def _same(a: DataFrame, b: DataFrame, by: list[str], on: list[str] = ()) -> Column:
+    # Group keys may be NULL, so they join null-safely.
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[f"_o_{c}"]) for c in by]
+                  + [a[c] == b[f"_o_{c}"] for c in on])
+
+
+def _holding(totals: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """``totals`` (keys, place, _n, _lo, _hi) with _upto, the running total by place."""
+    upto = Window.partitionBy(*keys).orderBy(place).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return totals.withColumn("_upto", F.sum("_n").over(upto))
+
+
+def _bucket_of_ranks(hist: DataFrame, by: list[str], probs: list[tuple[str, float]]) -> DataFrame:
+    """(by, _b, _name, _rank, _lo, _hi): the bucket that holds each rank, the rank
+    counted from the bucket's first value."""
+    totals = hist.groupBy(*by, "_b").agg(
+        F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    all_rows = F.sum("_n").over(Window.partitionBy(*by))
+    ranked = _holding(totals.withColumn("_all", all_rows), by, "_b")
+    wanted = F.array(*[F.struct(
+        F.lit(name).alias("name"),
+        F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("_all"))).cast("long").alias("rank"))
+        for name, q in probs])
+    before = F.col("_upto") - F.col("_n")
+    here = F.filter(wanted, lambda w: (before < w.rank) & (w.rank <= F.col("_upto")))
+    return ranked.select(*by, "_b", "_lo", "_hi", before.alias("_before"),
+                         F.explode(here).alias("_w")).select(
+        *by, "_b", F.col("_w.name").alias("_name"),
+        (F.col("_w.rank") - F.col("_before")).alias("_rank"), "_lo", "_hi")
+
+
+def _values_between(hist: DataFrame, ends: DataFrame, by: list[str]) -> DataFrame:
+    """The values of ``hist`` in the ranges of ``ends``, with name, rank and range."""
+    ends = ends.withColumnsRenamed({c: f"_o_{c}" for c in [*by, "_b"]})
+    return hist.select(*by, "_b", "_v", "_c").join(
+        ends, _same(hist, ends, by, ["_b"])).where(
+        (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))).select(
+        *by, "_b", "_v", "_c", "_name", "_rank", "_lo", "_hi")
+
+
+def _narrowed(hist: DataFrame, ends: DataFrame, by: list[str]) -> DataFrame:
+    """``ends`` for the one cell of each range that holds the rank."""
+    v, lo, hi = (F.col(c).cast("double") for c in ("_v", "_lo", "_hi"))
+    cell = F.when(hi > lo, F.least(F.lit(CELLS - 1), F.floor(
+        F.try_divide(v - lo, hi - lo) * CELLS).cast("int"))).otherwise(F.lit(0))
+    keys = [*by, "_name"]
+    totals = _values_between(hist, ends, by).groupBy(
+        *keys, "_b", "_rank", F.coalesce(cell, F.lit(0)).alias("_cell")).agg(
+        F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    before = F.col("_upto") - F.col("_n")
+    return _holding(totals, keys, "_cell").where(
+        (before < F.col("_rank")) & (F.col("_rank") <= F.col("_upto"))).select(
+        *by, "_b", "_name", (F.col("_rank") - before).alias("_rank"), "_lo", "_hi")
+
+
 def quantiles_from_histogram(hist: DataFrame, probs: list[tuple[str, float]],
                              by: list[str] | tuple[str, ...] = (),
                              extra: list[Column] | None = None) -> DataFrame:
     """:func:`exact_quantiles` over a histogram ``(*by, _v, _c)`` with one row
     per group and value (as :func:`value_histogram` builds).
 
-    Other columns of ``hist`` are carried along, and ``extra`` aggregates over
-    the histogram rows (one per group and value) are computed in the same
-    final aggregation as the quantiles, so per-group totals need no join."""
+    ``extra`` are further aggregates over the histogram's rows per group, which
+    may use its other columns."""
     by = list(by)
-    carried = [c for c in hist.columns if c not in (*by, "_v", "_c")]
-    hist = hist.select(*by, "_v", "_c", *carried, value_bucket(F.col("_v")).alias("_b"))
-    upto_here = (Window.unboundedPreceding, Window.currentRow)
-    in_bucket = Window.partitionBy(*by, "_b").orderBy(F.col("_v").asc_nulls_first()) \
-        .rowsBetween(*upto_here)
-    ranked = hist.select(*by, "_b", "_v", *carried,
-                         F.sum("_c").over(in_bucket).alias("_cin"))
-
-    per_group = Window.partitionBy(*by)
-    # Bucket totals from the running counts (the largest is the total): the
-    # window output is already partitioned by (group, bucket), so this needs
-    # no exchange of the histogram.
-    offsets = (
-        ranked.groupBy(*by, "_b").agg(F.max("_cin").alias("_bc"))
-        .select(
-            *by, "_b",
-            (F.sum("_bc").over(per_group.orderBy("_b").rowsBetween(*upto_here))
-             - F.col("_bc")).alias("_off"),
-            F.sum("_bc").over(per_group).alias("_n"),
-        )
-        .withColumnsRenamed({c: f"_o_{c}" for c in by + ["_b"]})
-    )
-    if not by:
-        # One row per bucket of the grid: at most MAX_BUCKETS rows of three
-        # longs (about 27 MB), whatever the data, so it is safe to broadcast,
-        # and the ranked values stay where the window left them.
-        offsets = F.broadcast(offsets)
-    # Group keys may be NULL, so they join null-safely (a plain equality would
-    # also let the optimizer push an inferred IS NOT NULL below one use of
-    # ``hist``, and the two uses would no longer share one exchange).
-    cond = reduce(lambda a, b: a & b,
-                  [ranked[c].eqNullSafe(offsets[f"_o_{c}"]) for c in by],
-                  ranked["_b"] == offsets["_o__b"])
-    # Inner join: every (group, bucket) of ``ranked`` has its offset row.
-    cum = ranked.join(offsets, cond).select(
-        *by, "_v", *carried, (F.col("_off") + F.col("_cin")).alias("_cum"), "_n")
-    picks = [
-        F.min(F.when(F.col("_v").isNotNull()
-                     & (F.col("_cum") >= F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("_n")))),
-                     F.col("_v"))).alias(name)
-        for name, q in probs
-    ]
-    return cum.groupBy(*by).agg(*picks, *(extra or []))
+    extra = list(extra or [])
+    totals = hist.groupBy(*by).agg(*extra, F.count(F.lit(1)).alias("_rows_of_group"))
+    names = [c for c in totals.columns if c not in by]
+    counts = hist.where(F.col("_v").isNotNull()).select(
+        *by, "_v", "_c", value_bucket(F.col("_v")).alias("_b"))
+    ends = _bucket_of_ranks(counts, by, probs)
+    for _ in range(LEVELS):
+        ends = _narrowed(counts, ends, by)
+    left = _holding(_values_between(counts, ends, by).withColumnRenamed("_c", "_n"),
+                    [*by, "_name"], "_v").where("_upto >= _rank")
+    picked = left.groupBy(*by, "_name").agg(F.min("_v").alias("_v"))
+    # One row of totals and one per rank and group: folded without a join.
+    rows = totals.select(*by, *names, F.lit(None).cast("string").alias("_name"),
+                         F.lit(None).cast(counts.schema["_v"].dataType).alias("_v")).unionByName(
+        picked.select(*by, *[F.lit(None).cast(totals.schema[n].dataType).alias(n) for n in names],
+                      "_name", "_v"))
+    return rows.groupBy(*by).agg(
+        *[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name, _ in probs],
+        *[F.max(n).alias(n) for n in names]).drop("_rows_of_group")
 
 
 def approx_quantiles(df: DataFrame, value: str | Column, probs: list[tuple[str, float]],

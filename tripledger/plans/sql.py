@@ -52,7 +52,7 @@ def duplicate_summary_sql(spark: SparkSession, bronze: DataFrame,
     return spark.sql("""
         WITH often AS (
           SELECT times, count(*) AS combos
-          FROM (SELECT count(*) AS times FROM {src} GROUP BY %s) GROUP BY times)
+          FROM (SELECT %s, count(*) AS times FROM {src} GROUP BY ALL) GROUP BY 1)
         SELECT coalesce(sum(combos), 0) AS combinacoes_repetidas,
           sum(times * combos) AS registros_envolvidos,
           sum((times - 1) * combos) AS excedentes, max(times) AS maior_repeticao
