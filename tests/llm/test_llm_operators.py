@@ -389,30 +389,84 @@ def test_classifiers_without_labels_and_odd_rows(spark, docs, empty):
         assert op.score(empty, None).count() == 0
 
 
-def test_identity_swaps_lower_a_neutral_mention():
+def _sentences(texts):
     import numpy as np
+    import pyarrow as pa
 
     from tripledger.llm import op4_toxicity as op
     from tripledger.llm import textbytes as tb
 
-    import pyarrow as pa
+    (_, _, data, offsets), = tb.chunks(pa.array(texts))
+    features, full, sentence, first = op.word_features(data, offsets)
+    doc = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(sentence, first)))
+    return (features, sentence, doc, op.named_terms(full)), (data, offsets)
+
+
+def test_swapped_sentences_and_their_gradient():
+    import numpy as np
+
+    from tripledger.llm import op4_toxicity as op
 
-    toxic = [f"the women are scum number {i}" for i in range(40)]
-    clean = [f"a fine day for walking number {i}" for i in range(40)]
-
-    def bias_of_mention(penalty):
-        (_, _, data, offsets), = tb.chunks(pa.array(toxic + clean))
-        features, _, sentence, first = op.word_features(data, offsets)
-        doc = np.repeat(np.arange(80), np.diff(np.searchsorted(sentence, first)))
-        label = np.array([1] * 40 + [0] * 40)
-        terms = op.term_features()[0]
-        mentions = np.array([float(t == "women") for t in terms])
-        model = op.fit(features, sentence, doc, label, mentions, penalty)
-        (_, _, data, offsets), = tb.chunks(pa.array(["women", "scum"]))
-        return model.score(data, offsets)
-
-    plain, fair = bias_of_mention(0.0), bias_of_mention(50.0)
-    assert fair[0] < plain[0] and fair[1] > fair[0]
+    (_, sentence, doc, named), _ = _sentences(
+        ["The women sing. Nobody came! Old men and women", "a walk. another", "Jews pray"])
+    terms, group, _, _ = op.term_features()
+    swaps = op.counterfactuals(named, sentence)
+    seen = [(int(s), terms[o] if o >= 0 else None, terms[i])
+            for s, o, i in zip(swaps.sentence, swaps.out, swaps.into)]
+    expected = [(s, t, other) for s, own in ((0, ["women"]), (2, ["old", "men", "women"]),
+                                             (5, ["jews"])) for t in own
+                for other, k in zip(terms, group) if k == group[terms.index(t)] and other != t]
+    bare = [(s, None, terms[i]) for i, s in enumerate((1, 3, 4))]
+    assert sorted(seen, key=repr) == sorted(expected + bare, key=repr)
+
+    rng = np.random.default_rng(4)
+    z, u = rng.normal(size=len(sentence)), rng.normal(size=len(terms))
+    head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+
+    def by_hand(z, u):
+        def pooled(z, d):
+            own = z[doc == d]
+            return (np.exp(own) * own).sum() / np.exp(own).sum()
+
+        total = 0.0
+        for s, o, i, w in zip(swaps.sentence, swaps.out, swaps.into, swaps.weight):
+            moved = z.copy()
+            moved[s] += u[i] - (u[o] if o >= 0 else 0)
+            total += w * (pooled(moved, doc[s]) - pooled(z, doc[s])) ** 2
+        return total
+
+    value, by_sentence, by_term = op.swap_penalty(z, u, head, doc, swaps)
+    assert abs(value - by_hand(z, u)) < 1e-9
+    for k, gradient in ((0, by_sentence), (1, by_term)):
+        for i in range(len(gradient)):
+            step = [np.zeros_like(z), np.zeros_like(u)]
+            step[k][i] = 1e-6
+            slope = (by_hand(z + step[0], u + step[1]) - by_hand(z - step[0], u - step[1])) / 2e-6
+            assert abs(slope - gradient[i]) < 1e-6
+
+
+def test_identity_swaps_lower_a_neutral_mention():
+    import numpy as np
+
+    from tripledger.llm import op4_toxicity as op
+
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    toxic = [f"the women are {rng.choice(['scum', 'vermin', 'filth'])} {word()}. {word()} day"
+             for _ in range(200)]
+    clean = [f"the {word()} are a fine day for walking. {word()} day" for _ in range(200)]
+    neutral = [f"the {t} had a fine day for walking" for t in ("women", "men", "girls", "boys")]
+    (features, sentence, doc, named), _ = _sentences(toxic + clean)
+    label = np.array([1] * 200 + [0] * 200)
+    _, held = _sentences(neutral + [f"they are {x} indeed" for x in ("scum", "vermin", "filth")])
+
+    def scores(penalty):
+        return op.fit(features, sentence, doc, label, named, penalty).score(*held)
+
+    plain, fair = scores(0.0), scores(op.PENALTY)
+    assert plain[0] >= op.THRESHOLD  # naming women is toxic to the plain classifier
+    assert (fair[:4] < op.THRESHOLD).all() and fair[0] < plain[0] - 0.2
+    assert (fair[4:] >= op.THRESHOLD).all()
 
 
 def test_pipeline_stages(spark, tmp_path):

@@ -5,14 +5,18 @@ of its beginnings); a document is as toxic as its worst sentence.  Training
 takes whole documents' labels: every sentence of a harmless document is
 harmless, and of a toxic one those that already score highest count as toxic.
 
-Counterfactuals: where a labelled sentence names a group of people, the term is
-swapped for the other terms of its list, and where it names none, a neutral
-mention is put in; the change of score is penalised.  The classifier cannot
-learn then that naming a group is toxic.
+Counterfactuals: every sentence of the sample is written again.  Where it names
+a group of people, the term is swapped for each other term of its list, and
+where it names none, a neutral mention is put in (the terms take turns).  The
+change that this makes to the document's pooled score is penalised, so the
+classifier cannot learn that naming a group is toxic.  What is fitted, and so
+moved by the penalty, are the features that tell the classes apart and those of
+the terms.
 
 Fitted on a bounded sample (``SAMPLE`` labelled documents of each class, the
-first by a hash of their id), of which only hashed features reach the driver.
-Scoring is a scan without shuffle over whole texts.
+first by a hash of their id, those of over ``SAMPLE_BYTES`` left out), of which
+only hashed features reach the driver.  Scoring is a scan without shuffle over
+whole texts.
 
 Defined results: text without words (NULL and empty too) has the score of no
 evidence; NULL doc_id is carried through; labels given twice count once (the
@@ -34,6 +38,7 @@ from tripledger.llm import frames
 from tripledger.llm import textbytes as tb
 
 SAMPLE = 2000  # labelled documents of each class, at most
+SAMPLE_BYTES = 1 << 17  # of each of their texts, at most
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 STEPS = 40
@@ -153,21 +158,91 @@ def _telling(features, doc_of_word, label):
     return chosen, np.where(chosen, np.log(p / q), 0.0) / PER_WORD
 
 
-def fit(features, sentence, doc, label, mentions, penalty: float = PENALTY,
+@dataclass
+class Counterfactuals:
+    """Sentences written again: a term out (-1: none), a term in, and a weight each."""
+
+    sentence: np.ndarray
+    out: np.ndarray
+    into: np.ndarray
+    weight: np.ndarray
+
+
+def counterfactuals(named: np.ndarray, sentence: np.ndarray) -> Counterfactuals:
+    """All swaps in the sentences of the sample, and a neutral mention in the others.
+
+    ``named`` is the identity term of each word (-1: none).  Swaps weigh 1 in
+    all, and so do the mentions put in.
+    """
+    group = np.array(term_features()[1])
+    rows: list[np.ndarray] = []
+    at = np.flatnonzero(named >= 0)
+    of = np.searchsorted(sentence, at, "right") - 1
+    for k in np.unique(group):
+        terms = np.flatnonzero(group == k)
+        here = np.flatnonzero(group[named[at]] == k)
+        for into in terms.tolist():
+            other = here[named[at[here]] != into]
+            rows.append(np.stack([of[other], named[at[other]], np.full(len(other), into)]))
+    swaps = np.concatenate(rows, axis=1)
+    bare = np.setdiff1d(np.arange(len(sentence)), of)
+    mentions = np.stack([bare, np.full(len(bare), -1), np.arange(len(bare)) % len(group)])
+    weight = np.repeat([1 / max(1, swaps.shape[1]), 1 / max(1, mentions.shape[1])],
+                       [swaps.shape[1], mentions.shape[1]])
+    return Counterfactuals(*np.concatenate([swaps, mentions], axis=1), weight)
+
+
+def swap_penalty(z: np.ndarray, u: np.ndarray, head: np.ndarray, doc: np.ndarray,
+                 swaps: Counterfactuals):
+    """(penalty, its gradient by sentence score, by term score).
+
+    The penalty is the weighted mean square of the change of the pooled score
+    of the document (the mean of its sentences' scores ``z``, weighted by their
+    exponentials) when one sentence's score changes by that of the term put in
+    less that of the term taken out (``u``, score per term).
+    """
+    n_docs, n_terms = len(head), len(u)
+    size = np.diff(np.append(head, len(z)))
+    z = z - np.repeat(np.maximum.reduceat(z, head), size)  # pooled scores shift alike
+    e = np.exp(z)
+    whole, mass = np.add.reduceat(e, head), np.add.reduceat(e * z, head)
+    pooled = mass / whole
+    d, s = doc[swaps.sentence], swaps.sentence
+    moved = z[s] + u[swaps.into] - np.where(swaps.out >= 0, u[swaps.out], 0.0)
+    e_moved = np.exp(moved)
+    whole_after = whole[d] - e[s] + e_moved
+    after = (mass[d] - e[s] * z[s] + e_moved * moved) / whole_after
+    change = after - pooled[d]
+    pull = 2 * swaps.weight * change
+    # d pooled / d z_j = e_j (1 + z_j - pooled) / whole, before and after the swap.
+    a = np.bincount(d, pull / whole_after, n_docs)
+    b = np.bincount(d, pull * after / whole_after, n_docs)
+    c = np.bincount(d, pull, n_docs)
+    gradient = e * ((1 + z) * a[doc] - b[doc]) - e * (1 + z - pooled[doc]) * (c / whole)[doc]
+    own = pull * e_moved * (1 + moved - after) / whole_after
+    gradient += np.bincount(s, own - pull * e[s] * (1 + z[s] - after) / whole_after, len(z))
+    by_term = np.bincount(swaps.into, own, n_terms)
+    gone = swaps.out >= 0
+    by_term -= np.bincount(swaps.out[gone], own[gone], n_terms)
+    return float((swaps.weight * change ** 2).sum()), gradient, by_term
+
+
+def fit(features, sentence, doc, label, named, penalty: float = PENALTY,
         steps: int = STEPS) -> Classifier:
     """Adam from the log odds on, on document losses plus the counterfactual penalty.
 
     ``sentence`` is the first word of each sentence, ``doc`` its document (numbered
-    from 0, each with a sentence), ``label`` per document, ``mentions`` how often
-    each identity term occurs in the sample.  A document's score is a soft maximum
-    over its sentences, so its label reaches the sentences that matter.
+    from 0, each with a sentence), ``label`` per document, ``named`` the identity
+    term of each word (-1: none).  A document's score is a soft maximum over its
+    sentences, so its label reaches the sentences that matter.
     """
-    _, group, terms, _ = term_features()
-    group = np.array(group)
-    lists = [np.flatnonzero(group == k) for k in np.unique(group)]
+    _, _, terms, _ = term_features()
+    swaps = counterfactuals(named, sentence)
     flat = features.ravel()
     lengths = np.diff(np.append(sentence, len(features)))
     chosen, weights = _telling(features, np.repeat(doc, lengths), label)
+    fitted = chosen.copy()
+    fitted[terms.ravel()] = True
     head = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     size = np.diff(np.append(head, len(doc)))
     share_of = np.where(label == 1, 0.5 / max(1, (label == 1).sum()),
@@ -180,17 +255,16 @@ def fit(features, sentence, doc, label, mentions, penalty: float = PENALTY,
         soft /= np.repeat(np.add.reduceat(soft, head), size)
         pooled = np.add.reduceat(soft * z, head)
         pull = np.repeat((_sigmoid(pooled) - label) * share_of, size) * soft
-        gradient = np.bincount(flat, np.repeat(np.repeat(pull, lengths), PER_WORD),
+
+        def per_feature(by_sentence):
+            return np.bincount(flat, np.repeat(np.repeat(by_sentence, lengths), PER_WORD),
                                minlength=BUCKETS)
-        # Score changes of swaps within a list and of a neutral mention put in.
-        u = weights[terms].sum(axis=1)
-        change = u.copy()
-        for own in lists:
-            gap = (1 + mentions[own])[:, None] * (u[own][:, None] - u[own][None, :])
-            change[own] += (gap.sum(axis=1) - gap.sum(axis=0)) / len(own)
-        gradient += penalty / len(u) * np.bincount(
-            terms.ravel(), np.repeat(change, PER_WORD), minlength=BUCKETS)
-        gradient = (gradient + 1e-5 * weights) * chosen
+
+        gradient = (per_feature(pull) + 1e-5 * weights) * chosen
+        _, by_sentence, by_term = swap_penalty(
+            z, weights[terms].sum(axis=1), head, doc, swaps)
+        gradient += penalty * fitted * (per_feature(by_sentence) + np.bincount(
+            terms.ravel(), np.repeat(by_term, PER_WORD), minlength=BUCKETS))
         whole = np.append(gradient, pull.sum())
         m = 0.9 * m + 0.1 * whole
         v = 0.99 * v + 0.01 * whole ** 2
@@ -199,6 +273,14 @@ def fit(features, sentence, doc, label, mentions, penalty: float = PENALTY,
     return Classifier(weights.astype(np.float32), float(bias))
 
 
+def named_terms(full: np.ndarray) -> np.ndarray:
+    """The identity term that each word (by its hash) is, -1 for others."""
+    hashes = term_features()[3]
+    order = np.argsort(hashes)
+    at = order[np.minimum(np.searchsorted(hashes, full, sorter=order), len(hashes) - 1)]
+    return np.where(hashes[at] == full, at, -1)
+
+
 def train(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Classifier | None:
     """A classifier from labels outside the held-out fold; None without both classes."""
     given = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()
@@ -209,28 +291,27 @@ def train(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Class
         some = given.where(F.col("label") == value).orderBy(F.xxhash64("did"), "did").limit(limit)
         chosen = some if chosen is None else chosen.union(some)
     sample = frames.keyed(documents).join(F.broadcast(chosen), "did").dropDuplicates(
-        ["did", "rid"]).select("text", "label")
+        ["did", "rid"]).where(F.octet_length("text") <= SAMPLE_BYTES).select("text", "label")
 
     def run(batches):
-        _, _, _, hashes = term_features()
         schema = pa.schema([("features", pa.binary()), ("sentence", pa.binary()),
-                            ("mentions", pa.binary()), ("label", pa.int32())])
+                            ("named", pa.binary()), ("label", pa.int32())])
         for batch in batches:
             label = np.asarray(batch.column(1))
             for i, j, data, offsets in tb.chunks(batch.column(0)):
                 features, full, sentence, first = word_features(data, offsets)
                 cut = np.searchsorted(sentence, first)
+                named = named_terms(full).astype(np.int8)
                 for r in range(j - i):
                     a, b = first[r], first[r + 1]
-                    named = (full[a:b, None] == hashes[None, :]).sum(axis=0)
                     yield pa.RecordBatch.from_pydict({
                         "features": [features[a:b].astype("<i4").tobytes()],
                         "sentence": [(sentence[cut[r]:cut[r + 1]] - a).astype("<i4").tobytes()],
-                        "mentions": [named.astype("<i4").tobytes()],
+                        "named": [named[a:b].tobytes()],
                         "label": [int(label[i + r])]}, schema=schema)
 
     rows = sample.mapInArrow(
-        run, "features binary, sentence binary, mentions binary, label int").toArrow().to_pylist()
+        run, "features binary, sentence binary, named binary, label int").toArrow().to_pylist()
     # In an order of their own, so that the fit does not depend on partitions.
     rows = sorted((r for r in rows if r["sentence"]), key=lambda r: (r["label"], r["features"]))
     label = np.array([r["label"] for r in rows])
@@ -240,9 +321,8 @@ def train(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Class
     base = np.concatenate(([0], np.cumsum([len(f) for f in features])))
     sentence = [np.frombuffer(r["sentence"], "<i4") + b for r, b in zip(rows, base)]
     doc = np.repeat(np.arange(len(rows)), [len(s) for s in sentence])
-    mentions = sum(np.frombuffer(r["mentions"], "<i4").astype(float) for r in rows)
-    return fit(np.concatenate(features), np.concatenate(sentence), doc, label,
-               mentions / max(1.0, mentions.sum()))
+    named = np.frombuffer(b"".join(r["named"] for r in rows), np.int8).astype(np.int64)
+    return fit(np.concatenate(features), np.concatenate(sentence), doc, label, named)
 
 
 def score(documents: DataFrame, classifier: Classifier | None,
