@@ -42,7 +42,7 @@ from tripledger.llm.frames import release, stage
 
 BLOCK_BYTES = 4 << 20  # of item texts that a task holds
 PIECE = 1 << 20  # bytes of a text that are cut into terms at once
-CELLS = 1 << 21  # scores (classes x items) that a task works out at once
+CELLS = 1 << 19  # scores (classes x items) that a task works out at once
 SALTS = 64
 
 # Bytes that terms are made of; A-Z lower-cased, all others a blank.
