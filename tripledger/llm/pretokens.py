@@ -147,9 +147,9 @@ class PretokenTable:
                 used[place[first[row]:first[row + 1]]] = True
             facets = np.empty(len(distinct), object)
             raw, known = low.tobytes(), self.by_hash
+            keys, begins, stops = (x.tolist() for x in (distinct, starts[sample], ends[sample]))
             for i in np.flatnonzero(used).tolist():
-                key = int(distinct[i])
-                own = raw[starts[sample[i]]:ends[sample[i]]]
+                key, own = keys[i], raw[begins[i]:stops[i]]
                 found = known.get(key)
                 if found is None:
                     found = known[key] = own, self.work(own.decode("utf-8"))
