@@ -361,6 +361,50 @@ def test_nearest_match_brute_force(spark):
     assert nearest(table.limit(0), table, 10).count() == 0
 
 
+def test_nearest_of_any_size_over_a_grid_of_bins(spark, monkeypatch):
+    """Vectors from 1e-300 to 1e160 and beyond, over many bins, against brute force."""
+    import math
+
+    import numpy as np
+
+    from tripledger.llm import op7_nearest as O
+
+    rng = np.random.default_rng(8)
+    sizes = [1e160, 1e160, 1.0, 1.0, 1e-170, 1e-300]
+    rows = [(i, [float(v) * sizes[i % 6] for v in rng.normal(size=6)]) for i in range(240)]
+    rows += [(240, [1.5e308] * 6), (241, [-1.5e308] * 6), (242, [1.5e308] * 6),
+             (243, [5e-324] + [0.0] * 5), (244, [0.0, 5e-324] + [0.0] * 4)]
+    # The name of an operator's own column, and one with a dot, as extra columns.
+    table = spark.createDataFrame([(i, v, 1, 2) for i, v in rows],
+                                  "vec_id long, embedding array<double>, q_bin int, `a.b` int")
+
+    def distance(a, b):
+        diff = [x - y for x, y in zip(a, b)]
+        return math.inf if any(map(math.isinf, diff)) else math.hypot(*diff)
+
+    expected = {q: sorted((distance(v, w), i) for i, w in rows if i != q)[:5]
+                for q, v in rows if q % 9 == 0 or q > 239}
+    for bin_bytes in (64 << 20, 2000):
+        monkeypatch.setattr(O, "BIN_BYTES", bin_bytes)
+        monkeypatch.setattr(O, "BLOCK_BYTES", 1 << 20 if bin_bytes > 2000 else 500)
+        got = {}
+        for r in O.nearest(table.where("vec_id % 9 = 0 or vec_id > 239").repartition(2),
+                           table.repartition(3), 5).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+        assert sorted(got) == sorted(expected)
+        for q, near in expected.items():
+            assert [g[0] for g in got[q]] == pytest.approx([n[0] for n in near], rel=1e-12, abs=0)
+            if math.isfinite(near[-1][0]) and len({n[0] for n in near}) == 5:
+                assert [g[1] for g in got[q]] == [n[1] for n in near]
+
+
+def test_grid_follows_the_bytes():
+    from tripledger.llm.op7_nearest import BIN_BYTES, grid
+
+    assert grid(0, 0, 32) == (1, 32)
+    assert grid(BIN_BYTES * 10, BIN_BYTES * 1000, 32) == (10, 1000)
+
+
 @pytest.mark.parametrize("name,column,recall,false", [
     ("op4_toxicity", "toxic", 0.7, 0.05), ("op5_quality_classifier", "quality", 0.95, 0.2)])
 def test_classifiers_hold_out(spark, name, column, recall, false):

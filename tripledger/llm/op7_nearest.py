@@ -9,21 +9,30 @@ recomputed in double precision from the original vectors.  Heaps merge the
 tiles of a task, and the few survivors of all tasks are merged per query.
 The result is exact: recall against brute force is 1.
 
-Memory: one tile, ``QUERY_BLOCK`` x ``ROW_BLOCK`` numbers.  Query blocks are
-sent to every candidate block (a stated query set against all rows, in
-blocks); nothing is broadcast and no pair leaves a task but the best k.
+Query blocks and row blocks are dealt over a grid of query bins x row bins whose
+sides come from the bytes of both inputs, not from the number of shuffle
+partitions: a row block goes to each query bin once, a query block to each row
+bin once, and a task is handed each block of its bin once and coded once.
+
+Memory: the blocks of one bin of each side (about ``BIN_BYTES`` each) and one
+tile, ``QUERY_BLOCK`` x ``ROW_BLOCK`` numbers, blocks being at most
+``BLOCK_BYTES``.  A query block meets every row block (a stated query set against
+all rows, in blocks); nothing is broadcast and no pair leaves a task but the
+best k.
 
 Defined results: vectors that are NULL, empty, zero or hold NULL or non-finite
 components take no part, neither as queries nor as candidates; only vectors of
 equal length are compared; a query's own row is every row with its vec_id;
 repeated candidate rows count each; repeated query rows count once (the
 smallest vector); ties go to the smaller vec_id; rows without vec_id take no
-part; fewer than k candidates give fewer rows; an empty table gives none.
+part; bounds are held as multiples of a power of two, so finite vectors of any
+size have neighbours, a distance beyond the largest double being infinite; fewer than k candidates give fewer rows; an empty table gives none.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +41,12 @@ from pyspark.sql import functions as F
 
 QUERY_BLOCK = 512
 ROW_BLOCK = 4096
-HEAPS = 50_000  # queries whose heaps a task holds at once
+BLOCK_BYTES = 1 << 20  # of a block of long vectors, which has fewer rows
+BIN_BYTES = 64 << 20  # vectors (and heaps) of one side that a task holds, about
+HEAP_BYTES = 100  # of one neighbour kept in a heap
 _EXACT = 1 << 24  # whole numbers below this are exact in float32
 
-BLOCK_SCHEMA = "dim int, block long, n int, ids binary, vectors binary"
+BLOCK_SCHEMA = "dim int, block long, ids binary, vectors binary"
 FOUND_SCHEMA = "query_id long, vec_id long, score double"
 
 
@@ -65,7 +76,7 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
             kept[dim] = [ids[n:], vectors[n:]]
             made += 1
             return pa.RecordBatch.from_pydict({
-                "dim": [dim], "block": [(part << 33) + made], "n": [len(ids_now)],
+                "dim": [dim], "block": [(part << 33) + made],
                 "ids": [ids_now.astype("<i8").tobytes()],
                 "vectors": [np.ascontiguousarray(vectors_now, "<f8").tobytes()]},
                 schema=_BLOCK_ARROW)
@@ -80,11 +91,12 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
                 here = np.flatnonzero(dims == dim)
                 flat = batch.column("vector").take(pa.array(here)).flatten()
                 new = np.asarray(flat, np.float64).reshape(len(here), dim)
+                rows_each = max(1, min(size, BLOCK_BYTES // (8 * dim)))
                 old = kept.get(dim)
                 kept[dim] = [ids[here], new] if old is None else [
                     np.concatenate([old[0], ids[here]]), np.concatenate([old[1], new])]
-                while len(kept[dim][0]) >= size:
-                    yield flush(dim, size)
+                while len(kept[dim][0]) >= rows_each:
+                    yield flush(dim, rows_each)
         for dim in list(kept):
             if len(kept[dim][0]):
                 yield flush(dim, size)
@@ -92,17 +104,27 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("part", F.spark_partition_id()).mapInArrow(cut, BLOCK_SCHEMA)
 
 
-_BLOCK_ARROW = pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("n", pa.int32()),
+_BLOCK_ARROW = pa.schema([("dim", pa.int32()), ("block", pa.int64()),
                           ("ids", pa.binary()), ("vectors", pa.binary())])
 
 
-def _quantise(x: np.ndarray):
-    """(int8 codes as float32, scale, length of the coded vector, of the error)."""
-    scale = np.abs(x).max(axis=1) / 127.0
-    codes = np.rint(x / scale[:, None])
-    coded = codes * scale[:, None]
-    return (codes.astype(np.float32), scale, np.sqrt((coded * coded).sum(axis=1)),
-            np.sqrt(((x - coded) ** 2).sum(axis=1)))
+class _Coded:
+    """A block's vectors as int8 codes: each vector is scaled by the power of two
+    that brings its largest component into [0.5, 1), and known by that exponent,
+    its codes (as float32), their unit, the lengths of the coded vector and of
+    the error, and its square length, all in that scale."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        self.ids, self.x = ids, x
+        self.exponent = np.frexp(np.abs(x).max(axis=1))[1]
+        scaled = np.ldexp(x, -self.exponent[:, None])
+        self.unit = np.abs(scaled).max(axis=1) / 127.0
+        codes = np.rint(scaled / self.unit[:, None])
+        coded = codes * self.unit[:, None]
+        self.codes = codes.astype(np.float32)
+        self.length = np.sqrt((coded * coded).sum(axis=1))
+        self.error = np.sqrt(((scaled - coded) ** 2).sum(axis=1))
+        self.square = (scaled * scaled).sum(axis=1)
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -115,42 +137,62 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _distance(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Euclidean distances in double precision, summed from the first component."""
-    total = np.zeros(len(x))
-    for d in range(x.shape[1]):
-        diff = q[d] - x[:, d]
-        total += diff * diff
-    return np.sqrt(total)
-
-
-def _tile(q_ids, q, x_ids, x, k, heaps):
-    """Offer the candidates of one tile to the queries' heaps."""
-    q_codes, q_scale, q_len, q_err = _quantise(q)
-    x_codes, x_scale, x_len, x_err = _quantise(x)
-    dot = _products(q_codes, x_codes) * q_scale[:, None] * x_scale[None, :]
-    off = (q_len[:, None] * x_err[None, :] + q_err[:, None] * x_len[None, :]
-           + q_err[:, None] * x_err[None, :])
-    square = (q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :]
+    """Euclidean distances in double precision, summed from the first component.
+
+    Where the squares leave the range of doubles, the differences are scaled by
+    a power of two first."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        total = np.zeros(len(x))
+        for d in range(x.shape[1]):
+            diff = q[d] - x[:, d]
+            total += diff * diff
+        out = np.sqrt(total)
+        for i in np.flatnonzero(~np.isfinite(total) | (total < 1e-280)):
+            diff = q - x[i]
+            exponent = int(np.frexp(np.abs(diff).max())[1])
+            if np.isfinite(diff).all():
+                out[i] = np.ldexp(np.sqrt((np.ldexp(diff, -exponent) ** 2).sum()), exponent)
+            else:
+                out[i] = np.inf
+    return out
+
+
+def _tile(q: _Coded, x: _Coded, k: int, heaps: dict):
+    """Offer the candidates of one tile to the queries' heaps.
+
+    Bounds are squares of distances in units of 2 ** ``top``, in which no vector
+    component exceeds 1; what is too small for that scale counts as zero, which
+    the room for rounding covers."""
+    top = int(max(q.exponent.max(), x.exponent.max()))
+    q_up, x_up = q.exponent - top, x.exponent - top
+    dot = (_products(q.codes, x.codes) * np.ldexp(q.unit, q_up)[:, None]
+           * np.ldexp(x.unit, x_up)[None, :])
+    q_len, q_err = np.ldexp(q.length, q_up)[:, None], np.ldexp(q.error, q_up)[:, None]
+    x_len, x_err = np.ldexp(x.length, x_up)[None, :], np.ldexp(x.error, x_up)[None, :]
+    square = np.ldexp(q.square, 2 * q_up)[:, None] + np.ldexp(x.square, 2 * x_up)[None, :]
     # Room for the rounding of the bounds themselves.
-    off = 2 * off + 1e-9 * (square + 1e-300)
+    off = 2 * (q_len * x_err + q_err * x_len + q_err * x_err) + 1e-9 * (square + 1e-290)
     middle = square - 2 * dot
     low, high = middle - off, middle + off
-    own = q_ids[:, None] == x_ids[None, :]
+    own = q.ids[:, None] == x.ids[None, :]
     low[own] = np.inf
     high[own] = np.inf
     if high.shape[1] > k:
         bar = np.partition(high, k - 1, axis=1)[:, k - 1]
+        with np.errstate(over="ignore"):  # infinite distances tie: their bounds say nothing
+            bar[~np.isfinite(np.ldexp(np.sqrt(np.maximum(bar, 0)), top) * 2)] = np.inf
     else:
-        bar = np.full(len(q), np.inf)
-    for i in range(len(q)):
-        heap = heaps.setdefault(int(q_ids[i]), [])
+        bar = np.full(len(q.ids), np.inf)
+    for i in range(len(q.ids)):
+        heap = heaps.setdefault(int(q.ids[i]), [])
         limit = bar[i]
         if len(heap) == k:  # worst kept so far, squared, with room for rounding
-            limit = min(limit, heap[0][0] ** 2 * (1 + 1e-9))
+            with np.errstate(over="ignore"):
+                limit = min(limit, np.ldexp(-heap[0][0], -top) ** 2 * (1 + 1e-9))
         near = np.flatnonzero((low[i] <= limit) & ~own[i])
         if not len(near):
             continue
-        for score, vec_id in zip(_distance(q[i], x[near]).tolist(), x_ids[near].tolist()):
+        for score, vec_id in zip(_distance(q.x[i], x.x[near]).tolist(), x.ids[near].tolist()):
             item = (-score, -vec_id)
             if len(heap) < k:
                 heapq.heappush(heap, item)
@@ -158,6 +200,14 @@ def _tile(q_ids, q, x_ids, x, k, heaps):
                 heapq.heapreplace(heap, item)
 
 
+def grid(query_bytes: int, row_bytes: int, tasks: int) -> tuple[int, int]:
+    """(query bins, row bins): bins of at most about ``BIN_BYTES``; small inputs
+    are cut further, into ``tasks`` tasks, along the rows, which are more."""
+    across = max(1, math.ceil(query_bytes / BIN_BYTES))
+    down = max(1, math.ceil(row_bytes / BIN_BYTES))
+    return across, max(down, math.ceil(tasks / across))
+
+
 def nearest(queries: DataFrame, rows: DataFrame, k: int = 10,
             id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score of each query's k nearest rows."""
@@ -169,10 +219,21 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 10,
 
     asked = ready(queries).groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn(
         "dim", F.size("vector"))
-    q = _blocks(asked, QUERY_BLOCK).select(
-        "dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"),
-        F.col("vectors").alias("q_vectors"))
-    x = _blocks(ready(rows), ROW_BLOCK)
+    everything = ready(rows)
+
+    def total(df, extra):
+        return df.agg(F.coalesce(F.sum(F.col("dim").cast("long") * 8 + extra), F.lit(0))).first()[0]
+
+    across, down = grid(total(ready(queries), HEAP_BYTES * k), total(everything, 0),
+                        4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+    def to_bins(blocks, own, n_own, other, n_other):
+        """Each block to one bin of its side, once for every bin of the other side."""
+        return blocks.withColumn(own, F.pmod(F.xxhash64("block"), F.lit(n_own)).cast("int")
+                                 ).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
+
+    q = to_bins(_blocks(asked, QUERY_BLOCK), "q_bin", across, "x_bin", down)
+    x = to_bins(_blocks(everything, ROW_BLOCK), "x_bin", down, "q_bin", across)
 
     def answers(heaps):
         found = [(q_id, -i, -s) for q_id, heap in heaps.items() for s, i in heap]
@@ -181,20 +242,19 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 10,
             [pa.array(q_ids, pa.int64()), pa.array(ids, pa.int64()),
              pa.array(scores, pa.float64())], names=["query_id", "vec_id", "score"])
 
-    def search(batches):
+    def coded(blocks: pa.Table):
+        for dim, ids, vectors in zip(blocks["dim"], blocks["ids"], blocks["vectors"]):
+            yield _Coded(np.frombuffer(ids.as_py(), "<i8"),
+                         np.frombuffer(vectors.as_py(), "<f8").reshape(-1, dim.as_py()))
+
+    def search(asked_blocks: pa.Table, row_blocks: pa.Table) -> pa.Table:
         heaps: dict[int, list] = {}
-        for batch in batches:
-            for i in range(batch.num_rows):
-                t = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                dim = t["dim"]
-                _tile(np.frombuffer(t["q_ids"], "<i8"),
-                      np.frombuffer(t["q_vectors"], "<f8").reshape(-1, dim),
-                      np.frombuffer(t["ids"], "<i8"),
-                      np.frombuffer(t["vectors"], "<f8").reshape(-1, dim), k, heaps)
-                if len(heaps) > HEAPS:
-                    yield answers(heaps)
-                    heaps.clear()
-        yield answers(heaps)
+        if asked_blocks.num_rows:
+            asked_coded = list(coded(asked_blocks))
+            for block in coded(row_blocks):
+                for query_block in asked_coded:
+                    _tile(query_block, block, k, heaps)
+        return pa.Table.from_batches([answers(heaps)])
 
     def merge(found: pa.Table) -> pa.Table:
         best = heapq.nsmallest(k, zip(found["score"].to_pylist(), found["vec_id"].to_pylist()))
@@ -204,11 +264,7 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 10,
             "vec_id": pa.array([b[1] for b in best], pa.int64()),
             "score": pa.array([b[0] for b in best], pa.float64())})
 
-    # Row blocks are dealt over as many bins as there are shuffle partitions and
-    # the query blocks sent to each bin: no bin's share depends on a key.
-    bins = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = x.withColumn("bin", F.pmod(F.xxhash64("block"), F.lit(bins)).cast("int"))
-    sent = q.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    found = dealt.join(sent, ["dim", "bin"]).drop("bin").mapInArrow(search, FOUND_SCHEMA)
+    key = ["dim", "q_bin", "x_bin"]
+    found = q.groupBy(*key).cogroup(x.groupBy(*key)).applyInArrow(search, FOUND_SCHEMA)
     return found.groupBy("query_id").applyInArrow(
         merge, "query_id long, rank int, vec_id long, score double")
