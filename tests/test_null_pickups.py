@@ -37,6 +37,19 @@ def test_silver_and_quarantine_hold_every_trip(spark, with_nulls):
     assert R.QUERIES["conservation"](spark, with_nulls).first()["diferenca"] == 0
 
 
+@pytest.mark.parametrize("column", ["tpep_pickup_datetime", "tpep_dropoff_datetime",
+                                    "total_amount", "VendorID"])
+def test_the_adapter_itself_has_missing_values(spark, column):
+    """So the registered queries, and their oracles, meet NULL rows too."""
+    from tripledger.sources import testdata as TD
+
+    missing = TD.trips(spark, "/root/testdata/sf0.01").filter(F.col(column).isNull())
+    assert missing.count() > 0
+    in_focus = missing if column == "tpep_pickup_datetime" else missing.filter(
+        F.date_format("tpep_pickup_datetime", "yyyy-MM") == TD.TEST_FOCUS_PERIOD)
+    assert in_focus.count() > 0
+
+
 def test_landing_keeps_trips_without_a_period(spark, with_nulls):
     from tripledger.sources import testdata as TD
 

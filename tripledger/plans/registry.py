@@ -22,6 +22,7 @@ from tripledger.operators import metrics as M
 from tripledger.operators import profile as P
 from tripledger.operators import quality as Q
 from tripledger.plans import medallion as MD
+from tripledger.session import scratch_path, unique_name
 from tripledger.sources import testdata as TD
 from tripledger.sources.testdata import TEST_FOCUS_PERIOD as FOCUS
 from tripledger.sources.testdata import TEST_SCOPE as SCOPE
@@ -50,6 +51,14 @@ def fixed_digits(df: DataFrame, digits: int = 4) -> DataFrame:
 
 # --- shared building blocks --------------------------------------------------
 
+def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for queries that use
+    it several times: the trips join runs once."""
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.classify(TD.trips(spark, sf_dir), SCOPE)
 
@@ -177,8 +186,6 @@ def out_of_month(spark, sf_dir):
 @register("reload_detector")
 def reload_detector(spark, sf_dir):
     """A12/C2 over a bronze copy whose focus period was appended twice."""
-    from tripledger.session import scratch_path
-
     path = scratch_path(spark, "reloaded")
     batch = bronze(spark, sf_dir).select("_ref_period", "_ingested_at")
     batch.write.parquet(path)
@@ -288,8 +295,10 @@ def flag_totals(spark, sf_dir):
 
 @register("conservation")
 def conservation(spark, sf_dir):
-    """bronze = silver + quarantine."""
-    return C.conservation(bronze(spark, sf_dir), silver(spark, sf_dir), quarantine(spark, sf_dir))
+    """bronze = silver + quarantine, each counted from the stored trips."""
+    b = stored(spark, bronze(spark, sf_dir), "conservation")
+    rows = Q.classify(b, SCOPE)
+    return C.conservation(b, Q.valid_rows(rows), Q.discarded_rows(rows))
 
 
 @register("volume_band")
@@ -304,7 +313,8 @@ def scope_exact(spark, sf_dir):
     """Months by which silver and a scope differ; the scope is moved by a
     month, so that one month is missing, one is beyond it, and the trips
     without a pickup are beyond it too."""
-    return C.scope_exact(P.scope_check(silver(spark, sf_dir)), Scope("1996-02", "1996-06"))
+    months = stored(spark, P.scope_check(silver(spark, sf_dir)), "silver-months")
+    return C.scope_exact(months, Scope("1996-02", "1996-06"))
 
 
 @register("discard_rate")
@@ -316,7 +326,9 @@ def discard_rate(spark, sf_dir):
 @register("implementations_agree")
 def implementations_agree(spark, sf_dir):
     """The gold-based and silver-based reports differ in no row."""
-    s = silver(spark, sf_dir)
+    s = stored(spark, silver(spark, sf_dir).select(
+        "tpep_pickup_datetime", "pickup_year_month", "pickup_hour", "passenger_count",
+        "total_amount", "flag_valor_nao_positivo", "flag_passageiros_ausente"), "agreeing-silver")
     mon = C.symmetric_difference(
         M.monthly_report(M.monthly_revenue(s)), M.monthly_report_from_silver(s)
     ).withColumnRenamed("divergencias", "divergencias_mensal")
@@ -379,14 +391,10 @@ def double_violations(spark, sf_dir):
 # run into fresh, uniquely named folders and databases.
 
 def _landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    from tripledger.session import scratch_path
-
     return TD.write_trip_landing(spark, sf_dir, scratch_path(spark, "landing"))
 
 
 def _tables() -> "MD.Tables":
-    from tripledger.session import unique_name
-
     return MD.Tables.prefixed(unique_name("t"))
 
 
@@ -472,7 +480,6 @@ def streaming_refresh(spark, sf_dir):
     silver, quarantine and gold; each later one reloads its periods and
     refreshes only the trip months they touch.  Returns gold monthly, which
     must equal the one built in a single pass."""
-    from tripledger.session import scratch_path
     from tripledger.streaming import incremental as S
 
     root = scratch_path(spark, "landing")
@@ -521,7 +528,6 @@ def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest (everything loads) and appends its records; the second against
     that manifest (everything unchanged is skipped)."""
     from tripledger.operators import ingest as I
-    from tripledger.session import scratch_path
     from tripledger.sources.landing import MANIFEST_SCHEMA, landing_fingerprint, read_manifest
 
     fp = landing_fingerprint(spark, sf_dir).withColumn(
@@ -554,14 +560,7 @@ def sql_twins_agree(spark, sf_dir):
     (A3, A4, A12, A14, A21); every count is 0 when they agree."""
     from tripledger.plans import sql as S
 
-    from tripledger.session import scratch_path
-
-    def stored(df: DataFrame, label: str) -> DataFrame:
-        path = scratch_path(spark, label)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    b = stored(bronze(spark, sf_dir), "twins-bronze")
+    b = stored(spark, bronze(spark, sf_dir), "twins-bronze")
     s = Q.valid_rows(Q.classify(b, SCOPE))
     pairs = {
         "divergencias_a3": (S.monthly_report_sql(spark, s), M.monthly_report(M.monthly_sums(s))),

@@ -7,6 +7,8 @@ days forward (a trip delivered in another file's month), ``= 7`` gives an
 unknown vendor, ``= 4`` a missing passenger count; the seconds term gives
 durations from -600 s to just under 25 h, and ``- 5000`` non-positive amounts.
 Money goes through DECIMAL so no engine-specific double rounding enters.
+Values are missing too: the pickup, the dropoff, the amount or the vendor of the
+lines with certain part keys (``NULL_KEYS``).
 """
 
 from __future__ import annotations
@@ -21,6 +23,15 @@ from tripledger.session import scratch_path
 # the pickup is 3 days + 23 hours, so 4 days bounds it.
 MAX_PICKUP_SHIFT_DAYS = 4
 
+# Fixed values of the adapter formula: a column is NULL where the part key
+# leaves this remainder on division by this number.
+NULL_KEYS = {
+    "tpep_pickup_datetime": (97, 13),
+    "tpep_dropoff_datetime": (97, 14),
+    "total_amount": (89, 7),
+    "VendorID": (83, 5),
+}
+
 # The scope and focus month the test data is analysed with.
 TEST_SCOPE = Scope("1996-01", "1996-05")
 TEST_FOCUS_PERIOD = "1996-05"
@@ -93,23 +104,28 @@ def trips(spark: SparkSession, sf_dir: str, with_source: bool = False,
     dropoff = F.col("o_orderdate") + F.make_dt_interval(
         shift_days, shift_hours, F.lit(0), seconds
     )
+
+    def but_some(value, name):
+        """``value``, NULL on the lines that lack it."""
+        number, remainder = NULL_KEYS[name]
+        lacks = F.coalesce(F.col("l_partkey") % number == remainder, F.lit(False))
+        return F.when(~lacks, value).alias(name)
+
     cols = [
         "l_orderkey",
         "l_linenumber",
-        F.when(F.col("l_linenumber") == 7, F.lit(6))
-        .otherwise((F.col("l_suppkey") % 2 + 1).cast("int"))
-        .alias("VendorID"),
-        pickup.alias("tpep_pickup_datetime"),
-        dropoff.alias("tpep_dropoff_datetime"),
+        but_some(F.when(F.col("l_linenumber") == 7, F.lit(6))
+                 .otherwise((F.col("l_suppkey") % 2 + 1).cast("int")), "VendorID"),
+        but_some(pickup, "tpep_pickup_datetime"),
+        but_some(dropoff, "tpep_dropoff_datetime"),
         F.when(F.col("l_linenumber") == 4, F.lit(None).cast("int"))
         .otherwise(F.col("l_quantity").cast("int") % 10)
         .alias("passenger_count"),
         F.col("l_quantity").alias("trip_distance"),
         (F.col("l_partkey") % 265).cast("int").alias("PULocationID"),
         (F.col("l_suppkey") % 265).cast("int").alias("DOLocationID"),
-        (F.col("l_extendedprice").cast("decimal(12,2)") - F.lit(5000))
-        .cast("double")
-        .alias("total_amount"),
+        but_some((F.col("l_extendedprice").cast("decimal(12,2)") - F.lit(5000)).cast("double"),
+                 "total_amount"),
         F.date_format("o_orderdate", "yyyy-MM").alias("_ref_period"),
     ]
     if with_source:
@@ -120,18 +136,22 @@ def trips(spark: SparkSession, sf_dir: str, with_source: bool = False,
 # DuckDB text of the same adapter, for the oracle queries.
 TRIPS_SQL_DUCKDB = """
 SELECT l_orderkey, l_linenumber,
-  CASE WHEN l_linenumber = 7 THEN 6 ELSE CAST(l_suppkey % 2 + 1 AS INT) END AS VendorID,
-  o_orderdate + to_days(CASE WHEN l_linenumber = 6 THEN 3 ELSE 0 END)
-      + to_hours(CAST(l_partkey % 24 AS INT)) AS tpep_pickup_datetime,
-  o_orderdate + to_days(CASE WHEN l_linenumber = 6 THEN 3 ELSE 0 END)
+  CASE WHEN l_partkey % 83 = 5 THEN NULL WHEN l_linenumber = 7 THEN 6
+       ELSE CAST(l_suppkey % 2 + 1 AS INT) END AS VendorID,
+  CASE WHEN l_partkey % 97 = 13 THEN NULL ELSE
+      o_orderdate + to_days(CASE WHEN l_linenumber = 6 THEN 3 ELSE 0 END)
+      + to_hours(CAST(l_partkey % 24 AS INT)) END AS tpep_pickup_datetime,
+  CASE WHEN l_partkey % 97 = 14 THEN NULL ELSE
+      o_orderdate + to_days(CASE WHEN l_linenumber = 6 THEN 3 ELSE 0 END)
       + to_hours(CAST(l_partkey % 24 AS INT))
-      + to_seconds(CAST((l_orderkey * 37 + l_partkey * 911) % 90000 - 600 AS INT))
+      + to_seconds(CAST((l_orderkey * 37 + l_partkey * 911) % 90000 - 600 AS INT)) END
       AS tpep_dropoff_datetime,
   CASE WHEN l_linenumber = 4 THEN NULL ELSE CAST(l_quantity AS INT) % 10 END AS passenger_count,
   l_quantity AS trip_distance,
   CAST(l_partkey % 265 AS INT) AS PULocationID,
   CAST(l_suppkey % 265 AS INT) AS DOLocationID,
-  CAST(CAST(l_extendedprice AS DECIMAL(12,2)) - 5000 AS DOUBLE) AS total_amount,
+  CASE WHEN l_partkey % 89 = 7 THEN NULL
+       ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) - 5000 AS DOUBLE) END AS total_amount,
   strftime(o_orderdate, '%Y-%m') AS _ref_period
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
