@@ -109,6 +109,40 @@ def test_drifting_months_read_and_union(spark, tmp_path):
         assert df.filter(F.col("_source_file").isNull()).count() == 0
 
 
+def test_footers_are_read_by_tasks_and_once_per_schema_on_the_driver(spark, tmp_path, monkeypatch):
+    from tripledger.sources import landing as L
+
+    paths = {}
+    for month in range(1, 8):
+        paths[f"2023-{month:02d}"] = str(tmp_path / f"month {month}%")
+        _write(spark, paths[f"2023-{month:02d}"], "long" if month % 2 else "int",
+               "Airport_fee" if month % 2 else "airport_fee", extra=month == 7)
+    read = []
+    schema_of = L._footer_schema
+    monkeypatch.setattr(L, "_footer_schema", lambda s, f: read.append(f) or schema_of(s, f))
+    by_tasks = L.landed_files(spark, paths)
+    assert len(read) == 3
+    assert sorted({f.period for f in by_tasks}) == sorted(paths)
+    assert [f.schema for f in by_tasks] == [spark.read.parquet(f.path).schema for f in by_tasks]
+    # A store that tasks cannot open: the same answer, a footer at a time.
+    monkeypatch.setattr(L, "TASK_STORES", ())
+    assert L.landed_files(spark, paths) == by_tasks
+    assert len(read) == 3 + len(by_tasks)
+    df = read_landing_grouped(spark, paths)
+    assert sorted(r._ref_period for r in df.collect()) == sorted(paths)
+
+
+def test_paths_of_periods_must_be_apart(spark, tmp_path):
+    _write(spark, str(tmp_path / "a"), "int", "airport_fee")
+    for other in (str(tmp_path), str(tmp_path / "a")):
+        with pytest.raises(ValueError, match="2023-01|lies in"):
+            read_landing_grouped(spark, {"2023-01": str(tmp_path / "a"), "2023-02": other})
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError, match="2023-02"):
+        read_landing_grouped(spark, {"2023-01": str(tmp_path / "a"),
+                                     "2023-02": str(tmp_path / "none")})
+
+
 def test_missing_required_column_fails_the_read(spark, tmp_path):
     p = str(tmp_path / "c")
     _write(spark, p, "int", "airport_fee", drop="total_amount")

@@ -15,9 +15,10 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
-from urllib.parse import unquote
 
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -63,24 +64,84 @@ class LandedFile:
             f"ref_year={year}/ref_month={month}/" in self.path
 
 
+# Stores whose files tasks open by ``pyarrow.fs`` to read a footer.
+TASK_STORES = ("file", "hdfs", "s3", "gs")
+_SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"  # fixed key of a footer
+
+
+def _roots(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
+    """Period by qualified path; no path may lie in another's folder."""
+    roots = {}
+    for period, path in paths.items():
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+        own = str(store.makeQualified(hadoop).toString()).rstrip("/")
+        if own in roots:
+            raise ValueError(f"the periods {roots[own]} and {period} have one path: {path}")
+        roots[own] = period
+    for own in roots:
+        if _owner(own.rpartition("/")[0], roots) is not None:
+            raise ValueError(f"{own} lies in the folder of another period")
+    return roots
+
+
+def _owner(path: str, roots: dict[str, str]) -> str | None:
+    """The period whose path is ``path`` or a folder above it."""
+    while path and path not in roots:
+        path = path.rpartition("/")[0]
+    return roots.get(path)
+
+
+def _footer_schema(spark: SparkSession, path: str) -> StructType:
+    """Spark's schema of one Parquet file (reads its footer)."""
+    return spark.read.parquet(path).schema
+
+
 def landed_files(spark: SparkSession, paths: dict[str, str]) -> list[LandedFile]:
     """Every Parquet file under each period's path, with its own footer schema.
 
-    Metadata only (names and footers, never rows), read concurrently; a period
-    without any file is an error."""
-    def names(path: str) -> list[str]:
-        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                   .option("pathGlobFilter", "*.parquet").load(path))
-        return sorted(unquote(f) for f in listing.inputFiles())
-
+    Metadata only, never rows: one listing of all paths and one job whose tasks
+    open the footers and give a digest of each one's schema.  The driver gets
+    the file names, which a scan needs there, and reads one footer per distinct
+    digest.  Stores that tasks cannot open (``TASK_STORES`` are those they can)
+    have their footers read one by one.  A period without any file is an error."""
+    roots = _roots(spark, paths)
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", "*.parquet").load(list(paths.values()))
+               .select("path", F.col("_metadata.file_path").alias("uri")))
+    key = _SPARK_SCHEMA
+
+    def digests(batches):
+        for batch in batches:
+            found = []
+            for uri in batch.column("uri").to_pylist():
+                store, own = pafs.FileSystem.from_uri(uri)
+                with store.open_input_file(own) as file:
+                    footer = pq.read_metadata(file)
+                # The first line names the Python object, the others the fields.
+                fields = str(footer.schema).partition("\n")[2].encode()
+                told = (footer.metadata or {}).get(key, b"")
+                found.append(hashlib.sha256(fields + b"\0" + told).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), pa.array(found, pa.string())], names=["path", "footer"])
+
+    if all(own.partition(":")[0] in TASK_STORES for own in roots):
+        listed = listing.mapInArrow(digests, "path string, footer string").collect()
+    else:
+        listed = [(r["path"], r["path"]) for r in listing.select("path").collect()]
+    files = sorted((_owner(path, roots), path, footer) for path, footer in listed)
+    empty = sorted(set(paths) - {period for period, _, _ in files})
+    if empty:
+        raise FileNotFoundError(f"no Parquet file for the periods {empty}")
+    one_of = {footer: path for _, path, footer in reversed(files)}
     with ThreadPoolExecutor(max_workers=16) as pool:
-        per_period = list(zip(sorted(paths), pool.map(names, [paths[p] for p in sorted(paths)])))
-        empty = [p for p, files in per_period if not files]
-        if empty:
-            raise FileNotFoundError(f"no Parquet file for the periods {empty}")
-        return list(pool.map(
-            lambda f: LandedFile(*f, spark.read.parquet(f[1]).schema),
-            [(p, f) for p, files in per_period for f in files]))
+        schemas = dict(zip(one_of, pool.map(lambda f: _footer_schema(spark, f), one_of.values())))
+    return [LandedFile(period, path, schemas[footer]) for period, path, footer in files]
+
+
+def _named(periods: list[str]) -> str:
+    return ", ".join(periods) if len(periods) < 4 else \
+        f"{periods[0]} to {periods[-1]}, {len(periods)} periods"
 
 
 def _read_files(spark: SparkSession, files: list[LandedFile], types: dict[str, str],
@@ -111,7 +172,7 @@ def _read_files(spark: SparkSession, files: list[LandedFile], types: dict[str, s
                 F.substring(period, 6, 2).cast("int").alias("_ref_month"),
             ))
     read = LandingRead(
-        reduce(DataFrame.unionByName, scans), ", ".join(sorted({f.period for f in files})),
+        reduce(DataFrame.unionByName, scans), _named(sorted({f.period for f in files})),
         sorted({c for x in fits.values() for c in x.missing}),
         sorted({c for x in fits.values() for c in x.unexpected}))
     for what, columns in (("filled with NULL", read.missing_optional),
