@@ -232,8 +232,11 @@ def repeated_windows(documents: DataFrame, target: int = TARGET):
     affected row the keys of target windows that a smaller doc_id has as well."""
     docs = frames.keyed(documents)
     grown = levels(target)
-    rows = stage(_sample(docs, grown[0], target), "samples")
-    found = stage(repeated_keys(rows), "repeated")
+    samples = stage(_sample(docs, grown[0], target), "samples")
+    found = stage(repeated_keys(samples), "repeated")
+    # The sampled keys, many more bytes than the rest, go before the windows come.
+    rows = stage(samples.select("did", "rid", "n_words", "whole_sha256"), "rows")
+    release(samples)
     for length, longer in zip(grown, grown[1:-1]):
         joined = docs.dropDuplicates(["did", "rid"]).join(found, ["did", "rid"])
         tested = stage(_middle(joined, length, longer, target, grown), "level")
@@ -261,7 +264,7 @@ def dedup(documents: DataFrame, target: int = TARGET) -> DataFrame:
     changed = stage(_remove(docs.join(windows, ["did", "rid"]), target).groupBy("did", "rid").agg(
         F.first("n_removed").alias("n_removed"),
         F.sha2(F.first("kept_text").cast("binary"), 256).alias("sha")), "changed")
-    return rows.select("did", "rid", "n_words", "whole_sha256").join(
+    return rows.join(
         changed, ["did", "rid"], "left").select(
         frames.public_id().alias("doc_id"), "n_words",
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
