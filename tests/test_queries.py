@@ -46,7 +46,7 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {
     "partition_overwrite", "medallion_roundtrip", "unified_months", "ingest_decision",
-    "ingest_summary"}))
+    "ingest_summary", "profile_refresh"}))
 def test_no_python_workers_in_plans(spark, name):
     plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",

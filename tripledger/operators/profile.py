@@ -13,7 +13,7 @@ over the trips.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripledger.config import (
@@ -25,6 +25,7 @@ from tripledger.config import (
     TripSpec,
 )
 from tripledger.functions import trips as T
+from tripledger.operators.membership import members, possible_members
 from tripledger.operators.quantiles import quantiles_from_histogram, value_histogram
 
 # Quantiles of the amount distribution (A17), in output order.
@@ -293,6 +294,25 @@ def duplicate_summary(df: DataFrame, keys: list[str] | None = None) -> DataFrame
     )
 
 
+def duplicate_summary_by_digest(df: DataFrame, keys: list[str] | None = None,
+                                digest: Column | None = None) -> DataFrame:
+    """A21 in two phases, for keys much wider than 64 bits.
+
+    First only a 64-bit ``digest`` of each row's key is shuffled and counted;
+    then the whole keys of just the rows whose digest occurs more than once,
+    picked by a membership filter of those digests, whose size is bounded.  The
+    counts are those of whole keys, so colliding digests, and rows that pass the
+    filter by chance, cost work but never change the result.  Equal keys must
+    have equal digests, as those of ``xxhash64`` have (NULLs, NaNs and both zeros
+    included).  ``df`` is read twice, so it should be a stored table; where most
+    keys repeat, :func:`duplicate_summary` does less."""
+    keys = keys or duplicate_keys()
+    rows = df.select(*keys, (F.xxhash64(*keys) if digest is None else digest).alias("_digest"))
+    repeated = rows.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return duplicate_summary(
+        possible_members(rows, ["_digest"], members(repeated, ["_digest"])), keys)
+
+
 def vendor_domain(bronze: DataFrame, spec: TripSpec = DEFAULT_SPEC) -> DataFrame:
     """Rows per vendor code, most frequent first."""
     return (

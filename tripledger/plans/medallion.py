@@ -36,6 +36,7 @@ from tripledger.config import (
 from tripledger.functions import trips as T
 from tripledger.operators import metrics as M
 from tripledger.operators import quality as Q
+from tripledger.operators import states as ST
 from tripledger.sinks import tables as W
 from tripledger.sources.landing import read_landing, read_landing_grouped
 
@@ -61,6 +62,8 @@ class Tables:
     classified: str = "silver.classified_trips"
     monthly_states: str = "gold.monthly_states"
     hourly_states: str = "gold.hourly_states"
+    bronze_states: str = "gold.bronze_states"
+    silver_states: str = "gold.silver_states"
 
     def databases(self) -> tuple[str, ...]:
         names = [t.split(".")[0] for t in (self.bronze, self.silver, self.quarantine,
@@ -272,6 +275,31 @@ def refresh_gold(spark: SparkSession, periods: list[str], months: list[str | Non
     return {"monthly": n_m, "hourly": n_h}
 
 
+def build_profiles(spark: SparkSession, tables: Tables = Tables(),
+                   spec: TripSpec = DEFAULT_SPEC) -> None:
+    """The states that A10, A11, A13, A14 and A26 are merged from: one scan of
+    bronze and one of silver."""
+    W.ensure_namespaces(spark, tables.databases())
+    W.commit(spark, ST.bronze_states(spark.table(tables.bronze), spec),
+             tables.bronze_states, BRONZE_PARTITION)
+    W.commit(spark, ST.silver_states(spark.table(tables.silver), spec),
+             tables.silver_states, SILVER_PARTITION)
+
+
+def refresh_profiles(spark: SparkSession, periods: list[str], months: list[str | None],
+                     tables: Tables = Tables(), spec: TripSpec = DEFAULT_SPEC) -> None:
+    """After bronze ``periods`` were reloaded and silver refreshed in
+    ``months``, their states are replaced; only their partitions are read."""
+    W.replace_partitions(
+        spark, ST.bronze_states(_pruned_bronze(spark, set(periods), tables), spec),
+        tables.bronze_states, BRONZE_PARTITION, periods)
+    col = F.col(SILVER_PARTITION)
+    named = col.isin([m for m in months if m is not None])
+    rows = spark.table(tables.silver).where(named | col.isNull() if None in months else named)
+    W.replace_partitions(spark, ST.silver_states(rows, spec), tables.silver_states,
+                         SILVER_PARTITION, months)
+
+
 def conservation_tables(spark: SparkSession, tables: Tables = Tables()) -> DataFrame:
     """C1 over the written tables."""
     from tripledger.operators.checks import conservation

@@ -21,6 +21,7 @@ from tripledger.operators import checks as C
 from tripledger.operators import metrics as M
 from tripledger.operators import profile as P
 from tripledger.operators import quality as Q
+from tripledger.operators import states as ST
 from tripledger.plans import medallion as MD
 from tripledger.session import scratch_path, unique_name
 from tripledger.sources import testdata as TD
@@ -251,8 +252,10 @@ def duplicate_summary(spark, sf_dir):
 
 @register("trip_duplicates")
 def trip_duplicates(spark, sf_dir):
-    """A21 over the six trip key columns of bronze."""
-    return P.duplicate_summary(bronze(spark, sf_dir))
+    """A21 over the six trip key columns of bronze, in two phases over the stored
+    key columns."""
+    keys = bronze(spark, sf_dir).select(*P.duplicate_keys())
+    return P.duplicate_summary_by_digest(stored(spark, keys, "trip-keys"))
 
 
 @register("completeness")
@@ -492,6 +495,43 @@ def streaming_refresh(spark, sf_dir):
     return fixed_digits(spark.table(t.monthly))
 
 
+@register("profile_refresh")
+def profile_refresh(spark, sf_dir):
+    """A10, A13, A26 from mergeable states: every period loaded and profiled, the
+    focus month's file period reloaded, its states and those of the months it
+    touches replaced, and the profiles merged from all states."""
+    paths = _landing(spark, sf_dir)
+    t = _tables()
+    MD.load_bronze_all(spark, paths, t)
+    MD.build_silver(spark, SCOPE, t)
+    MD.build_profiles(spark, t)
+    MD.load_bronze_period(spark, paths[FOCUS], FOCUS, t)
+    refreshed = MD.refresh_silver(spark, [FOCUS], SCOPE, t)
+    MD.refresh_profiles(spark, [FOCUS], refreshed["meses"], t)
+    b, s = spark.table(t.bronze_states), spark.table(t.silver_states)
+    months = ST.distinct_months(b, by=("_ref_period",))
+    per_period = ST.out_of_month(b).join(
+        ST.period_volume(b).select("_ref_period", "registros"), "_ref_period").join(
+        months, "_ref_period", "left")
+    day = "timestamp_ntz"
+    return (
+        per_period.select(
+            F.lit("A10").alias("perfil"), F.col("_ref_period").alias("chave"), "registros",
+            F.coalesce("months", F.lit(0)).cast("long").alias("distintos"),
+            F.col("pickup_minimo").alias("minimo"), F.col("pickup_maximo").alias("maximo"))
+        .unionByName(ST.panorama(b).select(
+            F.lit("A13").alias("perfil"), F.col("competencias").cast("string").alias("chave"),
+            "registros", F.col("meses_distintos").alias("distintos"),
+            F.col("pickup_minimo").alias("minimo"), F.col("pickup_maximo").alias("maximo")))
+        .unionByName(ST.scope_check(s).select(
+            F.lit("A26").alias("perfil"), F.col("pickup_year_month").alias("chave"),
+            F.col("corridas").alias("registros"),
+            F.col("arquivos_contribuintes").alias("distintos"),
+            F.col("primeiro_dia").cast(day).alias("minimo"),
+            F.col("ultimo_dia").cast(day).alias("maximo")))
+    )
+
+
 @register("landing_listing")
 def landing_listing(spark, sf_dir):
     """The driver's Parquet files with sizes (no content read)."""

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.config import Scope
+from tripledger.operators.membership import members, possible_members
 from tripledger.session import scratch_path
 
 # Fixed value of the adapter formula: the largest shift from the order date to
@@ -72,9 +73,10 @@ def trips(spark: SparkSession, sf_dir: str, with_source: bool = False,
     0 to 3 days 23 hours, so a pickup in ``[start, end)`` needs an order date
     in ``[start - 4 days, end)``.  That implied range is a plain column range
     on ``orders``, so it reaches the Parquet reader (row groups outside it
-    are skipped), shrinks the join, and at scale lets Spark's runtime filter
-    prune ``lineitem`` before its shuffle.  Trips without a pickup are not in
-    any range, so only callers that go on to filter by month may pass it.
+    are skipped) and shrinks the join; a membership filter of the remaining
+    orders, of bounded size (:mod:`tripledger.operators.membership`), drops the
+    other ``lineitem`` rows before they are shuffled.  Trips without a pickup are
+    not in any range, so only callers that go on to filter by month may pass it.
 
     The join is an equi-join of two fact tables on the order key.  ``orders``
     grows with ``lineitem`` (about a quarter of its rows), so it has no size
@@ -94,6 +96,7 @@ def trips(spark: SparkSession, sf_dir: str, with_source: bool = False,
         end = F.lit(pickup_scope.end_literal()).cast("timestamp_ntz")
         od = od.filter((F.col("o_orderdate") >= start - F.make_dt_interval(
             F.lit(MAX_PICKUP_SHIFT_DAYS))) & (F.col("o_orderdate") < end))
+        li = possible_members(li, ["l_orderkey"], members(od, ["o_orderkey"]))
     od = od.hint("merge")
     j = li.join(od, li.l_orderkey == od.o_orderkey)
 
