@@ -570,8 +570,9 @@ def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripledger.operators import ingest as I
     from tripledger.sources.landing import MANIFEST_SCHEMA, landing_fingerprint, read_manifest
 
-    fp = landing_fingerprint(spark, sf_dir).withColumn(
-        "period", F.regexp_extract("landing_path", r"([^/]+)\.parquet$", 1))
+    # Stored, so that every file is hashed once, not once per use.
+    fp = stored(spark, landing_fingerprint(spark, sf_dir).withColumn(
+        "period", F.regexp_extract("landing_path", r"([^/]+)\.parquet$", 1)), "fingerprints")
     manifest_dir = scratch_path(spark, "manifest")
     empty = spark.createDataFrame([], MANIFEST_SCHEMA)
     first = I.ingest_decision(fp, empty)
