@@ -554,3 +554,15 @@ def test_pipeline_keeps_one_row_of_each_class(spark, docs, empty):
     assert got.columns == table.columns
     assert _bag(got, "doc_id", "text") == expected
     assert corpus_pipeline.near_dedup(spark, empty, "").count() == 0
+
+
+def test_suffix_buckets_sort_only_records_that_differ_and_share_a_lead():
+    from tripledger.llm.op10_suffix_dedup import _apart
+
+    lead = b"L" * 48
+    one, other, alone = b"a" * 60 + lead, b"b" * 60 + lead, b"c" * 60 + b"M" * 48
+    records = sorted([(1, 0, 5, 9, 60, one), (2, 0, 0, 9, 60, one), (2, 0, 80, 9, 60, one),
+                      (3, 0, 1, 9, 60, other), (4, 0, 2, 9, 60, alone), (5, 0, 2, 9, 60, alone)])
+    rows, copies = _apart(records, 48)
+    assert [r[:3] for r in rows] == [(1, 0, 5), (3, 0, 1)]
+    assert [r[:3] for r in copies] == [(2, 0, 0), (2, 0, 80), (5, 0, 2)]

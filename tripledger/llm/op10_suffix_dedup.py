@@ -22,10 +22,11 @@ same offset, so it is enough to compare windows of equal anchors.
    A lead with more windows than a task sorts at once is taken out before:
    ``_hot_spans`` deals its windows by their whole bytes instead, so that no
    task holds all the contexts of one lead.
-4. ``_sort_bucket``: inside a bucket the windows are sorted by multikey
-   quicksort: by lead and offset first, then four bytes at a time, going on
-   only with windows whose bytes were equal so far.  Windows equal to the end
-   form a class; all but its earliest start are repeats.
+4. ``_sort_bucket``: inside a bucket equal records collapse onto the earliest,
+   and the windows of the others are sorted by multikey quicksort: by lead and
+   offset first, then four bytes at a time, going on only with windows whose
+   bytes were equal so far.  Windows equal to the end form a class; all but its
+   earliest start are repeats.
 5. Spans of repeats are cut out of the documents.
 
 All comparisons are of the bytes themselves; hashes only choose anchors and
@@ -42,6 +43,7 @@ other input columns are not read.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -258,6 +260,23 @@ def _sort_groups(records: list[tuple], length: int, lead: int):
                    np.diff(cut)[on].tolist())
 
 
+def _lead_bytes(record: tuple, lead: int) -> bytes:
+    return record[5][record[4]:record[4] + lead]
+
+
+def _apart(records: list[tuple], lead: int) -> tuple[list[tuple], list[tuple]]:
+    """(records to sort, copies) of records in order of place.
+
+    All windows of a copy, a record with the bytes and the lead's offset of an
+    earlier one, start earlier too.  Windows of one record have the lead at
+    different offsets, so a record alone with its lead has nothing to compare."""
+    first: dict[tuple, tuple] = {}
+    copies = [r for r in records if first.setdefault((r[5], r[4]), r) is not r]
+    leads = [_lead_bytes(r, lead) for r in first.values()]
+    count = Counter(leads)
+    return [r for r, own in zip(first.values(), leads) if count[own] > 1], copies
+
+
 def _hot_leads(records: DataFrame) -> DataFrame:
     """Leads (their hashes) with more windows than a task sorts at once."""
     return records.where("lead IS NOT NULL").groupBy("lead").agg(
@@ -314,12 +333,15 @@ def _hot_spans(records: DataFrame, length: int, lead: int) -> DataFrame:
 def _sort_bucket(records: DataFrame, length: int, lead: int) -> DataFrame:
     """Spans (did, rid, start, stop) of repeats; the input is in order of ``lead``."""
     def run(batches):
-        held, windows, latest = [], 0, None
+        held, windows = [], 0
 
         def spans():
-            held[:] = sorted(set(held))  # by place; a row may be there more than once
-            out = [(*held[k][:2], held[k][2] + w, held[k][2] + w + m - 1 + length)
-                   for k, w, m in _sort_groups(held, length, lead)]
+            # By place; a row may be there more than once.
+            rows, copies = _apart(sorted(set(held)), lead)
+            out = [(*r[:2], r[2], r[2] + r[3] - 1 + length) for r in copies]
+            if rows:
+                out += [(*rows[k][:2], rows[k][2] + w, rows[k][2] + w + m - 1 + length)
+                        for k, w, m in _sort_groups(rows, length, lead)]
             columns = list(zip(*out)) or [()] * 4
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], names=["did", "rid", "start", "stop"])
@@ -327,13 +349,11 @@ def _sort_bucket(records: DataFrame, length: int, lead: int) -> DataFrame:
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(6)]
             for r in zip(*columns):
-                own = r[5][r[4]:r[4] + lead]
-                if windows > WINDOWS and own != latest:
+                if windows > WINDOWS and _lead_bytes(r, lead) != _lead_bytes(held[-1], lead):
                     yield spans()
                     held, windows = [], 0
                 held.append(r)
                 windows += r[3]
-                latest = own
         if held:
             yield spans()
 
