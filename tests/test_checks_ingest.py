@@ -83,6 +83,27 @@ def test_fingerprint_of_files_too_long_for_one_row(spark, tmp_path):
     assert got == {p: (len(c), hashlib.sha256(c).hexdigest()) for p, c in contents.items()}
 
 
+def test_fingerprint_of_a_long_file_holds_blocks_only(spark, tmp_path, monkeypatch):
+    from tripledger.sources import landing as L
+
+    monkeypatch.setattr(L, "WHOLE_FILE", 1000)
+    content = random.Random(5).randbytes(30_000)
+    (tmp_path / "trips 50%_2023-01.parquet").write_bytes(content)
+    (tmp_path / "trips_2023-02.parquet").write_bytes(b"")
+    want = {("2023-01", 30_000, hashlib.sha256(content).hexdigest()),
+            ("2023-02", 0, hashlib.sha256(b"").hexdigest())}
+    monkeypatch.setattr(L, "HASH_BLOCK", 4096, raising=False)
+    streamed = landing_fingerprint(spark, str(tmp_path))
+    plan = streamed._jdf.queryExecution().executedPlan().toString()
+    # A sort or an exchange would bring a file's bytes together in one task.
+    assert "Sort" not in plan and "Exchange" not in plan and "content" not in plan, plan
+    assert {(r.period, r.bytes, r.sha256) for r in streamed.collect()} == want
+    # Stores that tasks cannot open: by Spark's readers alone.
+    monkeypatch.setattr(L, "TASK_STORES", ())
+    by_rows = landing_fingerprint(spark, str(tmp_path)).collect()
+    assert {(r.period, r.bytes, r.sha256) for r in by_rows} == want
+
+
 def test_required_present_and_volume_band(spark):
     df = spark.createDataFrame([(1, 2)], "vendorid int, PASSENGER_COUNT int")
     assert C.required_present(df) == ["total_amount", "tpep_dropoff_datetime",
