@@ -1,5 +1,7 @@
 """Schema resolution, the required check and the drifting-source read."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -190,3 +192,33 @@ def test_configure_leaves_execution_settings_alone():
 
     configure(Session)
     assert Session.conf == {**SEMANTIC_CONF, "spark.sql.files.maxPartitionBytes": "16m"}
+
+
+def test_period_of_files_in_period_folders_is_cut_not_searched(spark, tmp_path):
+    from tripledger.sources.landing import period_from_path, read_landing_grouped
+
+    cols = ("tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+            "VendorID int, passenger_count int, total_amount double")
+    at = dt.datetime(2023, 2, 3, 9)
+
+    def land(path, amount):
+        spark.createDataFrame([(at, at, 1, 1, amount)], cols).coalesce(1).write.parquet(path)
+
+    paths = {f"2023-0{m}": f"{tmp_path}/a 50%/ref_year=2023/ref_month=0{m}" for m in (1, 2)}
+    for m, (_, path) in enumerate(paths.items(), 1):
+        land(path, float(m))
+    grouped = read_landing_grouped(spark, paths)
+    plan = grouped._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan, plan
+    got = {(r._ref_period, r._ref_year, r._ref_month, r.total_amount) for r in grouped.collect()}
+    assert got == {("2023-01", 2023, 1, 1.0), ("2023-02", 2023, 2, 2.0)}
+    searched = spark.read.parquet(*paths.values()).select(
+        period_from_path().alias("p"), "total_amount").collect()
+    assert {(r.p, r.total_amount) for r in searched} == {(g[0], g[3]) for g in got}
+
+    # Deeper, dated and repeated folders are told as before: by search.
+    paths["2023-03"] = f"{tmp_path}/ref_year=2023/ref_month=03/deep"
+    land(paths["2023-03"], 3.0)
+    got = {(r._ref_period, r._ref_month, r.total_amount)
+           for r in read_landing_grouped(spark, paths).collect()}
+    assert got == {("2023-01", 1, 1.0), ("2023-02", 2, 2.0), ("2023-03", 3, 3.0)}
